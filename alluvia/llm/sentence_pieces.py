@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding for merge-type (BPE) vocabularies.
 
 The encoder keeps a score-ordered agenda of adjacent symbol pairs and merges the best pair (ties: the leftmost) until none is
-a piece. No piece of such a vocabulary holds a space mark after another character, so a text falls apart before each run of
-space marks and equal parts have equal ids; parts are memoised. Each part new to a worker is checked, batch by batch, against
+a piece. Where no piece of the vocabulary holds a space mark after another character, nor an ASCII sign or digit beside a Latin letter, a text falls apart before each run of space marks and between signs and letters, and equal parts have equal ids;
+parts are memoised. Models of which this isn't true are refused. Each part new to a worker is checked, batch by batch, against
 the sentencepiece library, whose answer counts if the two should ever differ.
 
 Nulls are empty texts; an empty text has no ids. Repeated rows give repeated rows; other columns are left out unless named.
@@ -20,7 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-PARTS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+SIGNS = r"\x00-@\[-`{-\x7f"
+LETTER = "[A-Za-zÀ-ÖØ-öø-ɏ]"
+PARTS = re.compile(f"{MARK}*(?:{LETTER}++(?=[{MARK}{SIGNS}]|\\Z)|[{SIGNS}]++(?={MARK}|{LETTER}|\\Z)|[^{MARK}]+)|{MARK}+")
+JOINT = re.compile(f"{LETTER}[{SIGNS}]|[{SIGNS}]{LETTER}|[^{MARK}]{MARK}|\n.|.\n", re.DOTALL)
 MEMO_PARTS = 600_000
 MEMO_LENGTH = 64
 
@@ -69,8 +72,8 @@ class PieceCoder:
                 self.bytes_of[int(piece[3:5], 16)] = i
             elif not (sp.is_control(i) or sp.is_unknown(i)):
                 self.rank[piece] = (-sp.get_score(i), i)
-            if sp.is_unused(i) or MARK in piece.lstrip(MARK):
-                self.plain = False
+                if sp.is_unused(i) or JOINT.search(piece):
+                    self.plain = False
         if trainer.get(3, 1) != 2 or not self.plain:
             raise ValueError("a merge-type model with identity normalisation is needed")
         self.unknown, self.memo, self.differing = sp.unk_id(), {}, 0
