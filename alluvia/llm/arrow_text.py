@@ -80,8 +80,8 @@ def letters_table(separators: bytes, lower: bool = True) -> np.ndarray:
     table = np.arange(256, dtype=np.uint8)
     if lower:
         table[65:91] += 32
+    table[0] = 255  # a byte that UTF-8 never has; 0 stands for separators
     table[np.frombuffer(separators, np.uint8)] = 0
-    table[0] = 1 if 0 not in separators else 0
     return table
 
 

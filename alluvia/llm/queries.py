@@ -9,6 +9,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from alluvia.llm.near_duplicates import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from alluvia.llm.secret_scan import secret_scan
 
@@ -29,5 +35,5 @@ def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_scan, op4_language_id, op8_sentence_pieces)}
+QUERIES = {f.__name__: f for f in (op2_near_duplicates, op3_secret_scan, op4_language_id, op8_sentence_pieces)}
 ORACLES: dict[str, str] = {}
