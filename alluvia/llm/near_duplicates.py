@@ -28,7 +28,8 @@ from alluvia.llm.storage import materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 10, 3
+BANDS, ROWS = 12, 4
+NEXT_BANDS = (2, 1)
 HEAVY = 1 << 17
 SIGNS = bytes(b for b in range(1, 128) if not chr(b).isalnum())
 LETTERS = letters_table(SIGNS)
@@ -205,19 +206,22 @@ def near_duplicate_rows(df: DataFrame, text: str = "text", doc_id: str = "doc_id
     nodes = materialise(signed.groupBy("digest").agg(F.min("row").alias("id"), F.min_by("doc_id", "row").alias("doc_id"), F.min_by("bands", "row").alias("bands")), "nodes")
     entries = nodes.select("id", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "band", "id")
 
+    met = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    wanted = entries.join(met, "bucket").select("id").distinct().join(nodes.drop("bands"), "id")
+    found = df.select(F.col(doc_id).cast("long").alias("__d"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    found = found.join(wanted, found["__d"].eqNullSafe(wanted["doc_id"]) & (F.md5(found["text"]) == wanted["digest"])).select("id", "text")
+    candidates = materialise(found.groupBy("id").agg(F.first("text").alias("text")), "candidate-texts")
+
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = materialise(pairs, "pairs")
-        wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct().join(nodes.drop("bands"), "id")
-        found = df.select(F.col(doc_id).cast("long").alias("__d"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-        found = found.join(wanted, found["__d"].eqNullSafe(wanted["doc_id"]) & (F.md5(found["text"]) == wanted["digest"])).select("id", "text")
-        return similar_pairs(pairs, materialise(found.groupBy("id").agg(F.first("text").alias("text")), "pair-texts"), weights, similarity)
+        return similar_pairs(pairs, candidates, weights, similarity)
 
     def refine(rest: DataFrame, level: int) -> DataFrame | None:
-        """Narrower buckets: members that share one more band, a later one than those before."""
+        """Narrower buckets: members that also share the next band in a ring, at first one of the next two."""
         if level >= BANDS:
             return None
         more = nodes.select("id", F.posexplode("bands").alias("next", "value"))
-        return rest.join(more, "id").where("next > band").select(F.xxhash64("bucket", "next", "value").alias("bucket"), F.col("next").alias("band"), "id", "label")
+        turns = rest.select("*", F.explode(F.array(*[F.pmod(F.col("band") + k, F.lit(BANDS)) for k in range(1, NEXT_BANDS[min(level, len(NEXT_BANDS)) - 1] + 1)])).alias("next"))
+        return turns.join(more, ["id", "next"]).select(F.xxhash64("bucket", "next", "value").alias("bucket"), F.col("next").alias("band"), "id", "label")
 
     links = materialise(verified_links(entries, verify, refine), "text-links")
     roots = connected_components(links)
