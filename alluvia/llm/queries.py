@@ -35,5 +35,11 @@ def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op2_near_duplicates, op3_secret_scan, op4_language_id, op8_sentence_pieces)}
+def op9_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from alluvia.llm.maxent_lm import lm_scores
+
+    return lm_scores(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_near_duplicates, op3_secret_scan, op4_language_id, op8_sentence_pieces, op9_maxent_scores)}
 ORACLES: dict[str, str] = {}
