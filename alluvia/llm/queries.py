@@ -9,6 +9,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from alluvia.llm.licences import known_digests, license_scan
+
+    return license_scan(_table(spark, sf_dir, "documents"), known_digests(spark))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from alluvia.llm.near_duplicates import near_duplicates
 
@@ -41,5 +47,13 @@ def op9_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_near_duplicates, op3_secret_scan, op4_language_id, op8_sentence_pieces, op9_maxent_scores)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_secret_scan, op4_language_id, op8_sentence_pieces, op9_maxent_scores)}
+
+
+def _oracles() -> dict[str, str]:
+    from alluvia.llm import licences
+
+    return {"op1_license_scan": licences.oracle()}
+
+
+ORACLES = _oracles()
