@@ -33,6 +33,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from alluvia.llm.decontamination import contaminated
+
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,13 +53,13 @@ def op9_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_secret_scan, op4_language_id, op8_sentence_pieces, op9_maxent_scores)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_secret_scan, op4_language_id, op6_decontamination, op8_sentence_pieces, op9_maxent_scores)}
 
 
 def _oracles() -> dict[str, str]:
-    from alluvia.llm import licences
+    from alluvia.llm import decontamination, licences
 
-    return {"op1_license_scan": licences.oracle()}
+    return {"op1_license_scan": licences.oracle(), "op6_decontamination": decontamination.oracle()}
 
 
 ORACLES = _oracles()
