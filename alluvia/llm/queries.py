@@ -39,6 +39,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from alluvia.llm.line_dedup import line_dedup
+
+    return line_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -53,7 +59,7 @@ def op9_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_secret_scan, op4_language_id, op6_decontamination, op8_sentence_pieces, op9_maxent_scores)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_secret_scan, op4_language_id, op6_decontamination, op7_line_dedup, op8_sentence_pieces, op9_maxent_scores)}
 
 
 def _oracles() -> dict[str, str]:
