@@ -8,7 +8,8 @@ bit-parallel edit distance, many pairs at a time. Classes are connected componen
 that comes earlier by (doc_id, line number).
 
 Equal lines are one from the start, so that a line that millions of texts share is indexed once. Index keys of more than 32
-lines go through stars around a leader; what doesn't link to it is paired by a join that Spark can split.
+lines go through stars around a leader; where some don't link to it, the bucket's lines are compared block by block, with a
+count of kinds of code points as a filter, and only links are emitted.
 
 Lines are what stands between line feeds; blank ones are left alone. Lines of fewer than 24 code points only equal their exact
 copies. Null texts have no lines. Rows may repeat: the later copy's lines repeat. An empty table gives an empty result.
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alluvia.llm.arrow_text import mix, prefix_hashes, range_hashes, row_chunks
-from alluvia.llm.linking import SMALL, connected_components, verified_links
+from alluvia.llm.linking import PAIR_ROWS, SMALL, connected_components, verified_links
 from alluvia.llm.storage import materialise
 
 EDITS = 2
@@ -44,8 +45,8 @@ def segments(length: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(size, 0) - size, size
 
 
-def line_keys(prefix: np.ndarray, start: np.ndarray, length: np.ndarray, edits: int = EDITS) -> np.ndarray:
-    """Keys of lines that start there in the hashed points, one row for each: first those of the index, then the other lookups."""
+def line_cuts(length: np.ndarray, edits: int = EDITS) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Start, size and salt of the substrings that are keys of lines of these lengths: first those of the index, then the other lookups."""
     index, lookups = [], []
     for shorter in range(edits + 1):
         own = length - shorter
@@ -55,9 +56,13 @@ def line_keys(prefix: np.ndarray, start: np.ndarray, length: np.ndarray, edits:
             for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
                 s = at[i] + shift
                 s = np.where((s >= 0) & (s + size[i] <= length), s, at[i])
-                key = range_hashes(prefix, start + s, start + s + size[i]) ^ salt
-                (lookups if shorter or shift else index).append(key)
-    return np.stack(index + lookups, 1).view(np.int64)
+                (lookups if shorter or shift else index).append((s, size[i], salt))
+    return index + lookups
+
+
+def line_keys(prefix: np.ndarray, start: np.ndarray, length: np.ndarray, edits: int = EDITS) -> np.ndarray:
+    """The keys of lines that start there in the hashed points, one row for each."""
+    return np.stack([range_hashes(prefix, start + s, start + s + size) ^ salt for s, size, salt in line_cuts(length, edits)], 1).view(np.int64)
 
 
 def _lines_of(texts: list[str], counter: int) -> tuple[pa.Array, np.ndarray]:
@@ -195,6 +200,42 @@ def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+BLOCK = 256
+KINDS = 32
+
+
+def _linked_in_block(table: pa.Table) -> pa.Table:
+    """Links between the two blocks of lines, or within the one block, of a table (bucket, i, j, block, id, label, line).
+
+    Two lines within EDITS differ by at most twice as many in their counts of kinds of code points; pairs that pass this
+    are verified. Pairs of one label are known to be connected.
+    """
+    ids, block = table.column("id").to_numpy(), table.column("block").to_numpy()
+    label = np.array([-1 if x is None else x for x in table.column("label").to_pylist()])
+    lines = table.column("line").to_pylist()
+    counts = np.stack([np.bincount(mix(np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)) % np.uint64(KINDS), minlength=KINDS) for x in lines]).astype(np.int32)
+    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    right = np.flatnonzero(block == j)
+    a, b = [], []
+    for x in np.flatnonzero(block == i):
+        near = right[np.abs(counts[right] - counts[x]).sum(1) <= 2 * EDITS]
+        near = near[(ids[near] > ids[x] if i == j else ids[near] != ids[x]) & ((label[near] != label[x]) | (label[x] < 0))]
+        a += [x] * len(near)
+        b += near.tolist()
+    kept = within_edits([lines[k] for k in a], [lines[k] for k in b])
+    x, y = ids[np.array(a, np.int64)][kept], ids[np.array(b, np.int64)][kept]
+    return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+
+
+def _linked_in_blocks(rest: DataFrame, lines: DataFrame) -> DataFrame:
+    """Links within each bucket of (bucket, id, label): its lines are dealt to blocks of about BLOCK, and every pair of blocks is one small group; no pairs are emitted but links."""
+    blocks = rest.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+    dealt = rest.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
+    met = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
+    met = met.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "label").join(lines, "id")
+    return met.groupBy("bucket", "i", "j").applyInArrow(_linked_in_block, "a long, b long").distinct()
+
+
 def line_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of (doc_id, text[, row]): all rows (row, doc_id, n_lines), and the repeats (row, doc_id, line_no, first_doc, first_line, n_links)."""
     hashed = materialise(hashed_lines(df), "lines")
@@ -216,11 +257,11 @@ def line_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = materialise(pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct(), "line-pairs")
     ids = [pairs.select(F.col("a").alias("id")), pairs.select(F.col("b").alias("id")), *([many.select("id")] if many is not None else [])]
     wanted = flat.select("id", "doc_id", "line_no", "h1").join(reduce(DataFrame.unionByName, ids).distinct(), "id", "left_semi")
-    lines = materialise(_line_texts(df.select("doc_id", "text"), wanted), "line-texts")
+    lines = materialise(_line_texts(df.select("doc_id", "text"), wanted), "line-texts", PAIR_ROWS)
     links = _verified(pairs, lines)
     if many is not None:
-        links = links.unionByName(verified_links(many, lambda p: _verified(p, lines), lambda rest, level: None)).distinct()
-    links = materialise(links, "line-links")
+        links = links.unionByName(verified_links(many, lambda p: _verified(p, lines), lambda rest, level: None, lambda rest: _linked_in_blocks(rest, lines))).distinct()
+    links = materialise(links, "line-links", PAIR_ROWS)
     degree = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("n_links"))
     rooted = materialise(nodes.join(connected_components(links), "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
     classes = rooted.groupBy("root").agg(F.sum("n").alias("total"), F.min("first").alias("f")).where("total > 1")

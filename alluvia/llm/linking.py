@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from alluvia.llm.storage import materialise
 
 SMALL = 32
+PAIR_ROWS = 400
 
 
 def _pairs_within(entries: DataFrame) -> DataFrame:
@@ -42,12 +43,12 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def verified_links(entries: DataFrame, verify: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame, int], DataFrame | None]) -> DataFrame:
+def verified_links(entries: DataFrame, verify: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame, int], DataFrame | None], remainder: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The links (a, b) among the members of buckets (bucket, band, id) that verify() keeps.
 
     Where a member of a large bucket doesn't link to the leader, the bucket's members go on to the narrower buckets that
     refine(entries, level) gives, level by level; there, pairs that one leader connects already are left out. When it gives
-    None, the rest is paired in full by a join that Spark can split.
+    None, remainder(entries) gives the links of the rest, by default a full join that Spark can split.
     """
     links, level = None, 0
     entries = entries.distinct().withColumn("label", F.lit(None).cast("long"))
@@ -55,7 +56,7 @@ def verified_links(entries: DataFrame, verify: Callable[[DataFrame], DataFrame],
     while True:
         small, stars = bucket_pairs(entries)
         stars = materialise(stars, "stars")
-        found = materialise(verify(_ordered(small.unionByName(stars.where(apart).select("a", "b")))), "links").select("a", "b")
+        found = materialise(verify(_ordered(small.unionByName(stars.where(apart).select("a", "b")))), "links", PAIR_ROWS).select("a", "b")
         links = found if links is None else links.unionByName(found)
         if stars.isEmpty():
             break
@@ -70,10 +71,13 @@ def verified_links(entries: DataFrame, verify: Callable[[DataFrame], DataFrame],
             break
         level += 1
         entries = refine(rest, level)
+        if entries is None and remainder:
+            links = links.unionByName(materialise(remainder(rest), "links", PAIR_ROWS).select("a", "b"))
+            break
         if entries is None:
             x, y = (rest.select("bucket", F.col("id").alias(k), F.col("label").alias(f"l{k}")) for k in "ab")
             left = x.join(y, "bucket").where((F.col("a") < F.col("b")) & ~F.coalesce(F.col("la") == F.col("lb"), F.lit(False))).select("a", "b").distinct()
-            links = links.unionByName(materialise(verify(left), "links").select("a", "b"))
+            links = links.unionByName(materialise(verify(left), "links", PAIR_ROWS).select("a", "b"))
             break
     return links.distinct()
 

@@ -17,9 +17,38 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: the lineage ends, and lost executors lose nothing."""
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def materialise(df: DataFrame, name: str, batch_rows: int = 0) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: the lineage ends, and lost executors lose nothing.
+
+    batch_rows bounds the rows of an Arrow batch for this one write, for rows that may be long; the setting is put back.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/alluvia/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(BATCH_ROWS)
+    try:
+        if batch_rows:
+            spark.conf.set(BATCH_ROWS, str(batch_rows))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once for each application, whatever their Python path is."""
+    import zipfile
+    from pathlib import Path
+
+    context = spark.sparkContext
+    if getattr(context, "_alluvia_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="alluvia-")) / "alluvia_package.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, str(file.relative_to(package.parent)))
+    context.addPyFile(str(path))
+    context._alluvia_shipped = True
