@@ -150,7 +150,8 @@ class Sampler:
 
 
 def signatures(df: DataFrame, weights, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """row (unique), doc_id, digest (md5 of the text) and bands, empty for a text without words."""
+    """row (unique), doc_id, digest (md5 of the text) and bands, empty for a text without words; a given column __row is the row."""
+    given = "__row" in df.columns
 
     def run(batches):
         sampler, row = Sampler(), TaskContext.get().partitionId() << 40
@@ -165,10 +166,11 @@ def signatures(df: DataFrame, weights, text: str = "text", doc_id: str = "doc_id
                         seen[digest] = sampler.bands(own, w) if len(own) else np.zeros(0, np.int64)
                     bands.append(seen[digest])
                 n = b.num_rows
-                yield pa.RecordBatch.from_arrays([pa.array(range(row, row + n), pa.int64()), b.column(0), pa.array(digests, pa.string()), pa.array(bands, pa.list_(pa.int64()))], ["row", "doc_id", "digest", "bands"])
+                rows = b.column(2) if given else pa.array(range(row, row + n), pa.int64())
+                yield pa.RecordBatch.from_arrays([rows, b.column(0), pa.array(digests, pa.string()), pa.array(bands, pa.list_(pa.int64()))], ["row", "doc_id", "digest", "bands"])
                 row += n
 
-    return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "row long, doc_id long, digest string, bands array<long>")
+    return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *(["__row"] if given else [])).mapInArrow(run, "row long, doc_id long, digest string, bands array<long>")
 
 
 def similar_pairs(pairs: DataFrame, texts: DataFrame, weights, similarity: float) -> DataFrame:
@@ -235,3 +237,10 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", s
     rows = materialise(near_duplicate_rows(df, text, doc_id, similarity), "classes")
     classes = rows.groupBy("class_row").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     return rows.join(classes, "class_row").select("doc_id", "class_id", "class_size", "n_links")
+
+
+def one_of_each_class(df: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of df that come first in their classes, whole."""
+    numbered = materialise(df.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    first = near_duplicate_rows(numbered, text, doc_id, similarity).where("row = class_row").select(F.col("row").alias("__row"))
+    return numbered.join(first, "__row", "left_semi").select(*df.columns)

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    from alluvia.llm.storage import ship_package
+
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -33,6 +36,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents"))
 
 
+def op5_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from alluvia.llm.flac import media_digests
+
+    return media_digests(_table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from alluvia.llm.decontamination import contaminated
 
@@ -59,7 +68,13 @@ def op9_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_secret_scan, op4_language_id, op6_decontamination, op7_line_dedup, op8_sentence_pieces, op9_maxent_scores)}
+def op10_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from alluvia.llm.html_wrappers import main_texts
+
+    return main_texts(_table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_secret_scan, op4_language_id, op5_flac_media, op6_decontamination, op7_line_dedup, op8_sentence_pieces, op9_maxent_scores, op10_html_wrappers)}
 
 
 def _oracles() -> dict[str, str]:
