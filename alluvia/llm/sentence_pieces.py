@@ -170,7 +170,7 @@ def encode_texts(df: DataFrame, model: str, text: str = "text", keep: tuple[str,
         own = coder(model)
         for batch in batches:
             for b in _slices(batch, len(keep)):
-                ids = [sum(parts, []) for parts in own.encode([t or "" for t in b.column(len(keep)).to_pylist()])]
+                ids = [[i for part in parts for i in part] for parts in own.encode([t or "" for t in b.column(len(keep)).to_pylist()])]
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(ids, pa.list_(pa.int32())), pa.array(own.library.decode(ids) if ids else [], pa.string())], [*keep, "ids", "decoded"])
 
     return kept.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in kept.dtypes[:-1]) + ", ids array<int>, decoded string")

@@ -20,10 +20,21 @@ def shared_folder(spark: SparkSession) -> str:
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def materialise(df: DataFrame, name: str, batch_rows: int = 0) -> DataFrame:
+_written: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables that materialise() has written so far, but those it was told to keep: only for results that are written themselves."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def materialise(df: DataFrame, name: str, batch_rows: int = 0, keep: bool = False) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: the lineage ends, and lost executors lose nothing.
 
     batch_rows bounds the rows of an Arrow batch for this one write, for rows that may be long; the setting is put back.
+    keep spares the table from release().
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/alluvia/{name}-{uuid.uuid4().hex}"
@@ -32,6 +43,8 @@ def materialise(df: DataFrame, name: str, batch_rows: int = 0) -> DataFrame:
         if batch_rows:
             spark.conf.set(BATCH_ROWS, str(batch_rows))
         df.write.parquet(path)
+        if not keep:
+            _written.append(path)
     finally:
         spark.conf.set(BATCH_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
