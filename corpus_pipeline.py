@@ -1,7 +1,8 @@
 """A training-data pipeline over documents: language, repeated lines, near duplicates, benchmark leaks, token ids.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept; all but the last return the columns of
-documents. run() applies them in order, each result written in the shared folder and read again.
+documents. run() applies them in order, each result written in the shared folder and read again. A stage's result must be
+written before the next stage is called: the next one deletes the tables that it was made from.
 """
 
 from __future__ import annotations
@@ -14,34 +15,40 @@ from alluvia.llm.language_id import fit, identify, is_held_out
 from alluvia.llm.line_dedup import without_repeats
 from alluvia.llm.near_duplicates import one_of_each_class
 from alluvia.llm.sentence_pieces import encode_texts
-from alluvia.llm.storage import materialise, ship_package
+from alluvia.llm.storage import materialise, release, ship_package
 
 LEAST_SCORE = 0.5
 ORACLE_SQL = None  # language model, edit join, sampling and token ids have no SQL; the operators' tests compare with brute force
 
 
+def _begin(spark: SparkSession) -> None:
+    """A stage begins: the stage before has been written, so that the tables it made on its way can go."""
+    ship_package(spark)
+    release(spark)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learnt languages: those without a letter, or with a score under LEAST_SCORE, go."""
-    ship_package(spark)
+    _begin(spark)
     model = fit(docs.where(~is_held_out(F.col("doc_id"))))
     return identify(docs, model).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat an earlier line of the corpus; n_chars follows; emptied documents go."""
-    ship_package(spark)
+    _begin(spark)
     return without_repeats(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
-    ship_package(spark)
+    _begin(spark)
     return one_of_each_class(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage that matches a benchmark item."""
-    ship_package(spark)
+    _begin(spark)
     found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("leaked")).distinct()
     return docs.join(found, F.col("doc_id").eqNullSafe(F.col("leaked")), "left_anti")
 
@@ -50,7 +57,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens and ids of every document left, and whether decoding gave the text back."""
     import public_tokenizers
 
-    ship_package(spark)
+    _begin(spark)
     coded = encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=("doc_id", "lang", "source", "text"))
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.col("text")).alias("same"))
 
@@ -68,5 +75,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder of tables."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        docs = materialise(stage(spark, docs, sf_dir), name, keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
