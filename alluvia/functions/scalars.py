@@ -31,7 +31,7 @@ def event_id(stem: Column, patterns: tuple[str, ...]) -> Column:
 
 def tokens(text: Column, separator: str = ",") -> Column:
     """Trimmed tokens of a separated list, empty ones dropped."""
-    return F.filter(F.transform(F.split(text, separator), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, separator), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def ordered_unique(text: Column, known: str | None = None) -> Column:
