@@ -72,13 +72,14 @@ def _blocks(fingerprint: Column) -> Column:
 def within_radius(windows: DataFrame, items: DataFrame) -> DataFrame:
     """content and item_key of all fingerprints at a distance of at most RADIUS.
 
-    The items' blocks are spread over all changes of up to CHANGES bits, the windows' blocks are looked up as they are.
+    The items' blocks are spread over all changes of up to CHANGES bits, the windows' blocks are looked up as they are. Both
+    sides are shuffled: the spread blocks are some 2,800 rows an item, too many to broadcast.
     """
     masks = [sum(1 << b for b in bits) for n in range(CHANGES + 1) for bits in combinations(range(BLOCK_BITS), n)]
     spread = items.select("item_key", F.col("fingerprint").alias("f"), F.posexplode(_blocks(F.col("fingerprint"))).alias("place", "block"))
     spread = spread.select("item_key", "f", "place", F.explode(F.array(*[F.col("block").bitwiseXOR(F.lit(m)) for m in masks])).alias("block"))
     looked = windows.select("content", "fingerprint", F.posexplode(_blocks(F.col("fingerprint"))).alias("place", "block"))
-    near = looked.join(spread, ["place", "block"]).where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("f"))) <= RADIUS)
+    near = looked.join(spread.hint("merge"), ["place", "block"]).where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("f"))) <= RADIUS)
     return near.select("content", "item_key").distinct()
 
 
