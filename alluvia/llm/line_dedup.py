@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from alluvia.llm.arrow_text import mix, prefix_hashes, range_hashes, row_chunks
 from alluvia.llm.linking import PAIR_ROWS, SMALL, connected_components, verified_links
-from alluvia.llm.storage import materialise
+from alluvia.llm.storage import discard, materialise, with_row_numbers
 
 EDITS = 2
 LEAST_POINTS = 24
@@ -239,10 +239,14 @@ def _linked_in_blocks(rest: DataFrame, lines: DataFrame) -> DataFrame:
 def line_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of (doc_id, text[, row]): all rows (row, doc_id, n_lines), and the repeats (row, doc_id, line_no, first_doc, first_line, n_links)."""
     hashed = materialise(hashed_lines(df), "lines")
-    flat = hashed.select("row", "doc_id", F.explode("lines").alias("l")).select("row", "doc_id", "l.id", "l.line_no", "l.h1", "l.h2", "l.keys")
+    told = F.transform("lines", lambda x: F.struct(x["id"].alias("id"), x["line_no"].alias("line_no"), x["h1"].alias("h1"), x["h2"].alias("h2")))
+    slim = materialise(hashed.select("row", "doc_id", told.alias("lines")), "line-rows")
+    flat = slim.select("row", "doc_id", F.explode("lines").alias("l")).select("row", "doc_id", "l.id", "l.line_no", "l.h1", "l.h2")
     order = F.struct("doc_id", "line_no", "row")
     nodes = materialise(flat.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.min(order).alias("first")), "line-nodes")
-    keyed = materialise(flat.where(F.size("keys") > 0).select("id", "keys").join(nodes.select("id"), "id", "left_semi"), "line-keys")
+    keys = hashed.select(F.explode("lines").alias("l")).select("l.id", "l.keys").where(F.size("keys") > 0)
+    keyed = materialise(keys.join(nodes.select("id"), "id", "left_semi"), "line-keys")
+    discard(hashed)
     n_index = EDITS + 1
     index = keyed.select("id", F.explode(F.slice("keys", 1, n_index)).alias("key"))
     lookups = keyed.select("id", F.explode("keys").alias("key"))
@@ -255,6 +259,7 @@ def line_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         many = materialise(lookups.join(crowded, "key", "left_semi").select(F.col("key").alias("bucket"), F.lit(0).alias("band"), "id").distinct(), "crowded")
         pairs = lookups.join(index.join(crowded, "key", "left_anti").withColumnRenamed("id", "other"), "key").where("id != other")
     pairs = materialise(pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct(), "line-pairs")
+    discard(keyed)
     ids = [pairs.select(F.col("a").alias("id")), pairs.select(F.col("b").alias("id")), *([many.select("id")] if many is not None else [])]
     wanted = flat.select("id", "doc_id", "line_no", "h1").join(reduce(DataFrame.unionByName, ids).distinct(), "id", "left_semi")
     lines = materialise(_line_texts(df.select("doc_id", "text"), wanted), "line-texts", PAIR_ROWS)
@@ -263,12 +268,14 @@ def line_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         links = links.unionByName(verified_links(many, lambda p: _verified(p, lines), lambda rest, level: None, lambda rest: _linked_in_blocks(rest, lines))).distinct()
     links = materialise(links, "line-links", PAIR_ROWS)
     degree = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("n_links"))
-    rooted = materialise(nodes.join(connected_components(links), "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
+    discard(pairs, lines)
+    rooted = materialise(nodes.join(connected_components(links), "id", "left").join(degree, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
+    discard(nodes, links)
     classes = rooted.groupBy("root").agg(F.sum("n").alias("total"), F.min("first").alias("f")).where("total > 1")
-    members = rooted.join(classes, "root").join(degree, "id", "left").select("h1", "h2", "f", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    members = rooted.join(classes, "root").select("h1", "h2", "f", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     found = flat.select("row", "doc_id", "line_no", "h1", "h2").join(members, ["h1", "h2"])
     found = found.select("row", "doc_id", "line_no", F.col("f.doc_id").alias("first_doc"), F.col("f.line_no").alias("first_line"), F.col("f.row").alias("first_row"), "n_links")
-    return hashed.select("row", "doc_id", F.size("lines").cast("long").alias("n_lines")), found
+    return slim.select("row", "doc_id", F.size("lines").cast("long").alias("n_lines")), found
 
 
 def _is_repeat():
@@ -291,7 +298,7 @@ def line_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
 def without_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """df with the repeating lines taken out of its texts; rows whose text was filled and has only blanks left go, all others stay."""
     name = "__row"
-    numbered = materialise(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    numbered = with_row_numbers(df, name)
     _, members = line_classes(numbered.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(name).alias("row")))
     drop = members.where(_is_repeat()).groupBy(F.col("row").alias(name)).agg(F.collect_set("line_no").alias("__drop"))
     kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("__drop", i)), "\n")

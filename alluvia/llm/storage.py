@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,8 +27,12 @@ _written: list[str] = []
 def release(spark: SparkSession) -> None:
     """Delete the tables that materialise() has written so far, but those it was told to keep: only for results that are written themselves."""
     while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _written.pop())
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str, batch_rows: int = 0, keep: bool = False) -> DataFrame:
@@ -47,7 +52,34 @@ def materialise(df: DataFrame, name: str, batch_rows: int = 0, keep: bool = Fals
             _written.append(path)
     finally:
         spark.conf.set(BATCH_ROWS, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.alluvia_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of materialise() that no later plan reads, so that they don't take disk until the end."""
+    for table in tables:
+        _delete(table.sparkSession, table.alluvia_path)
+        if table.alluvia_path in _written:
+            _written.remove(table.alluvia_path)
+
+
+def with_row_numbers(df: DataFrame, name: str) -> DataFrame:
+    """df with a column of unique numbers that are the same whenever it is read.
+
+    Rows of a plain Parquet table are numbered by file and place in the file: nothing is copied. The files' names come to
+    the driver, which lists them for every read anyhow. Anything else is numbered and written.
+    """
+    relation = df._jdf.queryExecution().analyzed()
+    if relation.nodeName() != "LogicalRelation" or "_metadata" in df.columns or "parquet" not in relation.relation().toString().lower():
+        return materialise(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    path = f"{name}_path"
+    files = sorted(r[0] for r in df.select(F.col("_metadata.file_path")).distinct().collect())
+    numbers = df.sparkSession.createDataFrame(list(enumerate(files)), f"{name}_file long, {path} string")
+    placed = df.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(f"{name}_at"))
+    number = F.shiftleft(F.col(f"{name}_file"), 40).bitwiseOR(F.col(f"{name}_at")).alias(name)
+    return placed.join(numbers, path).select(*df.columns, number)
 
 
 def ship_package(spark: SparkSession) -> None:

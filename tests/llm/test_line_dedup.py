@@ -82,3 +82,20 @@ def test_edges(spark, rows):
     assert len(got) == len(rows)
     kept = sorted((r["doc_id"], r["text"]) for r in without_repeats(df).collect() if r["text"] is not None)
     assert kept == ([(2, ""), (3, "x\n\n" + "y" * 30), (4, "z" * 100000)] if rows else [])
+
+
+def test_stored_rows_are_numbered_without_a_copy(spark, tmp_path):
+    from alluvia.llm.storage import with_row_numbers
+
+    line = "a line that is long enough to be compared with others"
+    rows = [(None, f"{line}\nown {i} words of the text" if i % 3 else None, i % 5) for i in range(60)] + [(1, line, 7)] * 2
+    made = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    made.repartition(4).write.parquet(str(tmp_path / "docs"))
+    stored = spark.read.parquet(str(tmp_path / "docs"))
+    numbered = with_row_numbers(stored, "__n")
+    assert numbered.columns == [*stored.columns, "__n"]
+    assert numbered.select("__n").distinct().count() == len(rows)
+    assert not any("/alluvia/" in x for x in numbered.inputFiles())
+    kept = without_repeats(stored).collect()
+    assert sum(line in (r.text or "") for r in kept) == 1
+    assert sum(r.text is None for r in kept) == 20
