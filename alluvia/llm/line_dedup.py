@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from alluvia.llm.arrow_text import mix, prefix_hashes, range_hashes, row_chunks
 from alluvia.llm.linking import PAIR_ROWS, SMALL, connected_components, verified_links
-from alluvia.llm.storage import discard, materialise, with_row_numbers
+from alluvia.llm.storage import TEXT_ROWS, discard, materialise, with_row_numbers
 
 EDITS = 2
 LEAST_POINTS = 24
@@ -238,7 +238,7 @@ def _linked_in_blocks(rest: DataFrame, lines: DataFrame) -> DataFrame:
 
 def line_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of (doc_id, text[, row]): all rows (row, doc_id, n_lines), and the repeats (row, doc_id, line_no, first_doc, first_line, n_links)."""
-    hashed = materialise(hashed_lines(df), "lines")
+    hashed = materialise(hashed_lines(df), "lines", TEXT_ROWS)
     told = F.transform("lines", lambda x: F.struct(x["id"].alias("id"), x["line_no"].alias("line_no"), x["h1"].alias("h1"), x["h2"].alias("h2")))
     slim = materialise(hashed.select("row", "doc_id", told.alias("lines")), "line-rows")
     flat = slim.select("row", "doc_id", F.explode("lines").alias("l")).select("row", "doc_id", "l.id", "l.line_no", "l.h1", "l.h2")

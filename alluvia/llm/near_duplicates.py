@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from alluvia.llm.arrow_text import Table, letters_table, mix, row_chunks, utf8, words
 from alluvia.llm.linking import connected_components, verified_links
-from alluvia.llm.storage import materialise
+from alluvia.llm.storage import TEXT_ROWS, materialise, with_row_numbers
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -66,7 +66,7 @@ class Weights:
 
 def learn_weights(texts: DataFrame) -> Weights:
     """Document frequencies of all rows; the words above the least df are collected, at most HEAVY of them."""
-    counts = materialise(word_frequencies(texts), "word-df")
+    counts = materialise(word_frequencies(texts), "word-df", TEXT_ROWS)
     n, total = texts.count(), counts.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
     least = total // HEAVY + 1
     rows = counts.where(F.col("df") >= least).toArrow()
@@ -204,7 +204,7 @@ def near_duplicate_rows(df: DataFrame, text: str = "text", doc_id: str = "doc_id
     spark = df.sparkSession
     texts = df.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     weights = spark.sparkContext.broadcast(learn_weights(texts))
-    signed = materialise(signatures(df, weights, text, doc_id), "signatures")
+    signed = materialise(signatures(df, weights, text, doc_id), "signatures", TEXT_ROWS)
     nodes = materialise(signed.groupBy("digest").agg(F.min("row").alias("id"), F.min_by("doc_id", "row").alias("doc_id"), F.min_by("bands", "row").alias("bands")), "nodes")
     entries = nodes.select("id", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "band", "id")
 
@@ -241,6 +241,6 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", s
 
 def one_of_each_class(df: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """The rows of df that come first in their classes, whole."""
-    numbered = materialise(df.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    numbered = with_row_numbers(df, "__row")
     first = near_duplicate_rows(numbered, text, doc_id, similarity).where("row = class_row").select(F.col("row").alias("__row"))
     return numbered.join(first, "__row", "left_semi").select(*df.columns)

@@ -19,6 +19,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_ROWS = 1000  # rows of an Arrow batch of whole texts
 
 
 _written: list[str] = []
