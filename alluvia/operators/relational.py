@@ -63,3 +63,22 @@ def checks(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
     one = df.agg(*[F.count_if(~F.coalesce(c, F.lit(False))).alias(k) for k, c in conditions.items()])
     pairs = F.map_from_arrays(F.array(*map(F.lit, conditions)), F.array(*conditions))
     return one.select(F.explode(pairs).alias("check_name", "n_failed")).withColumn("passed", F.col("n_failed") == 0)
+
+
+def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:
+    """All rows whose key occurs more than once; counts are joined back, so that no task holds a hot key."""
+    more = df.groupBy(*keys).agg(F.count("*").alias("__c")).where("__c > 1").select(*keys)
+    return df.join(more, list(keys), "left_semi")
+
+
+def log_scaled(df: DataFrame, column: str, low: float, high: float, name: str = "scaled") -> DataFrame:
+    """log(1 + column) mapped from the table's range to low..high; low where the range is a point."""
+    ends = df.agg(F.log1p(F.min(column)).alias("__a"), F.log1p(F.max(column)).alias("__b"))
+    share = F.coalesce(F.try_divide(F.log1p(column) - F.col("__a"), F.col("__b") - F.col("__a")), F.lit(0.0))
+    return df.join(F.broadcast(ends)).withColumn(name, F.when(F.col(column).isNotNull(), low + share * (high - low))).drop("__a", "__b")  # one row
+
+
+def value_profile(df: DataFrame, columns: list[str], file: str) -> DataFrame:
+    """column_name, value, n_files and n of every value of the columns."""
+    items = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    return df.select(file, F.explode(items).alias("i")).groupBy("i.column_name", "i.value").agg(F.countDistinct(file).alias("n_files"), F.count("*").alias("n"))

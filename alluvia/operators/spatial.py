@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alluvia.operators.relational import keep_best
+from alluvia.sources.staging import staged
 
 
 def overlap_area(a: str = "a", b: str = "b") -> Column:
@@ -78,3 +79,37 @@ def zone_cells(zones: DataFrame) -> DataFrame:
     marked = touch.withColumn("inside", centre)
     hits = marked.groupBy("zone").agg(F.count_if(F.col("inside")).alias("hits"))
     return marked.join(hits, "zone").where(F.col("inside") | (F.col("hits") == 0)).select("zone", "x", "y", (F.col("hits") == 0).alias("used_fallback"))
+
+
+def non_dominated(boxes: DataFrame, size: int, most: float = 0.5) -> DataFrame:
+    """Ids of boxes (id, x0, y0, x1, y1) that no larger kept box covers by more than a share of most; ties in area go to the least id.
+
+    Larger boxes decide first: in each round, boxes that no undecided larger box covers are kept, and what they cover goes.
+    Rounds are written and as many as the longest chain of covered boxes.
+    """
+    a, b = (boxes.select(*[F.col(c).alias(f"{p}_{c}") for c in ("id", "x0", "y0", "x1", "y1")]) for p in "ab")
+    larger = (box_area("a") > box_area("b")) | ((box_area("a") == box_area("b")) & (F.col("a_id") < F.col("b_id")))
+    covers = box_join(a, b, size).where(larger & (overlap_area() > box_area("b") * most)).select(F.col("a_id").alias("over"), F.col("b_id").alias("id"))
+    covers = staged(covers, "covers")
+    open_, kept = staged(boxes.select("id"), "open"), None
+    while not open_.isEmpty():
+        now = staged(open_.join(covers, "id", "left_anti"), "kept")
+        kept = now if kept is None else kept.unionByName(now)
+        gone = covers.join(now.withColumnRenamed("id", "over"), "over", "left_semi").select("id").distinct()
+        open_ = staged(open_.join(now, "id", "left_anti").join(gone, "id", "left_anti"), "open")
+        left = covers.join(open_, "id", "left_semi").join(open_.withColumnRenamed("id", "over"), "over", "left_semi")
+        covers = staged(left.select("over", "id"), "covers")
+    return open_ if kept is None else kept
+
+
+def bilinear(points: DataFrame, grid: DataFrame) -> DataFrame:
+    """points (px, py, ...) with value, from the four nearest centres of unit cells (x, y, v); null where one is missing.
+
+    Each point meets its four cells by an equi-join; px and py identify a point.
+    """
+    at = points.withColumn("__x", F.floor(F.col("px") - 0.5)).withColumn("__y", F.floor(F.col("py") - 0.5))
+    fx, fy = F.col("px") - 0.5 - F.col("__x"), F.col("py") - 0.5 - F.col("__y")
+    corner = lambda i, j: F.struct((F.col("__x") + i).alias("x"), (F.col("__y") + j).alias("y"), ((fx if i else 1 - fx) * (fy if j else 1 - fy)).alias("w"))
+    met = at.withColumn("c", F.explode(F.array(*[corner(i, j) for i in (0, 1) for j in (0, 1)]))).select("px", "py", "c.*")
+    summed = met.distinct().join(grid.select("x", "y", "v"), ["x", "y"]).groupBy("px", "py").agg(F.sum(F.col("w") * F.col("v")).alias("s"), F.count("v").alias("n"))
+    return points.join(summed, ["px", "py"], "left").select(*points.columns, F.when(F.col("n") == 4, F.col("s")).alias("value"))

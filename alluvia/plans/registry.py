@@ -387,3 +387,49 @@ def row_mean_layers(spark, d):
 def cumulative_series(spark, d):
     w = Window.partitionBy("basin").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     return _days(spark, d).select("basin", F.col("day").cast("string").alias("day"), F.sum(F.col("value").cast("decimal(18,2)")).over(w).cast("double").alias("cumulative"))
+
+
+OUTLETS = """b AS (SELECT s_suppkey AS id, s_suppkey * 37 % 101 AS x0, s_suppkey * 53 % 89 AS y0, s_suppkey * 37 % 101 + 3 + s_suppkey % 11 AS x1, s_suppkey * 53 % 89 + 3 + s_suppkey % 7 AS y1 FROM supplier),
+    r AS (SELECT *, (x1 - x0) * (y1 - y0) AS area, row_number() OVER (ORDER BY (x1 - x0) * (y1 - y0) DESC, id) AS rn FROM b),
+    over AS (SELECT j.rn, list(i.rn) AS by_ FROM r i JOIN r j ON i.rn < j.rn AND greatest(least(i.x1, j.x1) - greatest(i.x0, j.x0), 0) * greatest(least(i.y1, j.y1) - greatest(i.y0, j.y0), 0) > j.area * 0.5 GROUP BY j.rn),
+    cur AS (SELECT r.rn, r.id, coalesce(by_, []) AS by_ FROM r LEFT JOIN over USING (rn))"""
+
+
+@query(
+    f"""WITH RECURSIVE {OUTLETS}, s AS (SELECT CAST(0 AS BIGINT) AS rn, CAST([] AS BIGINT[]) AS kept UNION ALL
+    SELECT cur.rn, CASE WHEN list_has_any(s.kept, cur.by_) THEN s.kept ELSE list_append(s.kept, cur.rn) END FROM s JOIN cur ON cur.rn = s.rn + 1)
+    SELECT id FROM cur WHERE rn IN (SELECT unnest(kept) FROM (SELECT kept FROM s ORDER BY rn DESC LIMIT 1))"""
+)
+def non_overlapping_outlets(spark, d):
+    k = F.col("s_suppkey")
+    x, y = k * 37 % 101, k * 53 % 89
+    b = table(spark, d, "supplier", "s_suppkey").select(k.alias("id"), x.alias("x0"), y.alias("y0"), (x + 3 + k % 11).alias("x1"), (y + 3 + k % 7).alias("y1"))
+    return G.non_dominated(b, 8)
+
+
+@query(
+    """WITH g AS (SELECT l_partkey % 60 AS x, l_orderkey % 60 AS y, max(l_quantity) AS v FROM lineitem GROUP BY ALL),
+    p AS (SELECT s_suppkey AS id, s_suppkey % 61 + 0.25 AS px, s_suppkey // 61 % 60 + 0.75 AS py FROM supplier)
+    SELECT id, (SELECT CASE WHEN count(v) = 4 THEN CAST(sum(v * (1 - abs(px - 0.5 - x)) * (1 - abs(py - 0.5 - y))) AS DOUBLE) END FROM g
+    WHERE abs(px - 0.5 - x) < 1 AND abs(py - 0.5 - y) < 1) AS value FROM p"""
+)
+def bilinear_resample(spark, d):
+    top = table(spark, d, "lineitem", "l_partkey", "l_orderkey", "l_quantity").groupBy((F.col("l_partkey") % 60).alias("x"), (F.col("l_orderkey") % 60).alias("y")).agg(F.max("l_quantity").alias("v"))
+    k = F.col("s_suppkey")
+    p = table(spark, d, "supplier", "s_suppkey").select(k.alias("id"), (k % 61 + F.lit(0.25)).alias("px"), (F.floor(k / 61) % 60 + F.lit(0.75)).alias("py"))
+    return G.bilinear(p, top).select("id", "value")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders QUALIFY count(*) OVER (PARTITION BY o_custkey, o_orderpriority) > 1")
+def repeated_keys(spark, d):
+    return R.repeated_keys(table(spark, d, "orders"), "o_custkey", "o_orderpriority").select("o_orderkey", "o_custkey")
+
+
+@query("SELECT p_partkey, round(2 + 8 * (ln(1 + p_size) - a) / (b - a), 9) AS scaled FROM part, (SELECT ln(1 + min(p_size)) AS a, ln(1 + max(p_size)) AS b FROM part)")
+def log_scaled_size(spark, d):
+    return R.log_scaled(table(spark, d, "part", "p_partkey", "p_size"), "p_size", 2.0, 10.0).select("p_partkey", F.round("scaled", 9).alias("scaled"))
+
+
+@query("SELECT column_name, value, count(DISTINCT f) AS n_files, count(*) AS n FROM (SELECT 'l_returnflag' AS column_name, l_returnflag AS value, l_suppkey AS f FROM lineitem UNION ALL SELECT 'l_linestatus', l_linestatus, l_suppkey FROM lineitem) GROUP BY column_name, value")
+def value_profile(spark, d):
+    return R.value_profile(table(spark, d, "lineitem", "l_returnflag", "l_linestatus", "l_suppkey"), ["l_returnflag", "l_linestatus"], "l_suppkey")
