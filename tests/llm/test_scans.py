@@ -81,3 +81,17 @@ def test_wrappers_and_pages(spark):
     got = sorted((r["page_id"], r["text"], r["n_chars"]) for r in main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
     text = "A &amp; B\none two three\nfour"
     assert got == [(1, text, len(text)), (2, "", 0), (2, "", 0), (3, text, len(text))]
+
+
+def test_wrapper_tells_slots_from_template(spark):
+    def page(i):
+        more = f"<blockquote>quote {i}</blockquote>" if i % 2 else ""
+        body = "".join(f"<p>text {i} {j}" for j in range(1 + i % 3))
+        return f"<body><article><p class='by'>By our staff</p><h1>Title {i}</h1>{more}{body}<ul><li>Home<li>More</ul></article></body>"
+
+    rows = [(i, f"http://h/{i}", page(i)) for i in range(6)] + [(9, "http://single/", page(1))]
+    got = {r["page_id"]: r["text"].split("\n") for r in main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(6):
+        assert got[i] == [f"Title {i}", *[f"quote {i}"] * (i % 2), *(f"text {i} {j}" for j in range(1 + i % 3))]
+    assert got[9] == ["By our staff", "Title 1", "quote 1", "text 1 0", "text 1 1", "Home", "More"]
+    assert align(["a", "(p #text /p)+", "z"], "a p #text /p z".split()) == ["a", "(p #text /p)+", "z"]
