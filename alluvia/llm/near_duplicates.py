@@ -8,7 +8,9 @@ are many. Words of fewer documents than 1 in 2**17 of all (document, word) pairs
 table has at most 2**17 rows whatever the corpus.
 
 Two texts link if their weighted Jaccard similarity, computed from the whole texts, is at least 0.8 (a parameter). The
-candidates share a band of ICWS samples. Classes are the connected components; equal texts are one class from the start.
+candidates share a band of ICWS samples, and every pair of candidates is compared: those of small buckets one by one, those of
+larger buckets block by block, where the links are counted and only as many emitted as keep the blocks' texts connected.
+Classes are the connected components; equal texts are one class from the start.
 Null texts are empty; empty texts equal each other; a text without words links to nothing but its copies. Rows may repeat.
 """
 
@@ -22,14 +24,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from alluvia.llm import linking
 from alluvia.llm.arrow_text import Table, letters_table, mix, row_chunks, utf8, words
-from alluvia.llm.linking import connected_components, verified_links
+from alluvia.llm.linking import connected_components
 from alluvia.llm.storage import TEXT_ROWS, materialise, with_row_numbers
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
-NEXT_BANDS = (2, 1)
+BLOCK, BLOCK_POINTS = 2048, 4 << 20
 HEAVY = 1 << 17
 SIGNS = bytes(b for b in range(1, 128) if not chr(b).isalnum())
 LETTERS = letters_table(SIGNS)
@@ -199,6 +202,78 @@ def _texts(column: pa.Array, keys: list[int], weights: Weights):
         yield own[at]
 
 
+def block_links(left: list[int], right: list[int], rows: list[tuple[np.ndarray, np.ndarray]], bands: np.ndarray, wide: np.ndarray, band: int, similarity: float) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Of the pairs of a left and a right row whose first common band is this one and that have no narrow common band: as many links
+    as keep all linked rows connected, and each row's number of links. left and right are the same list or have no common row."""
+    sizes = np.array([len(s) for s, _ in rows])
+    starts = np.cumsum(sizes) - sizes
+    codes = np.unique(np.concatenate([s for s, _ in rows]), return_inverse=True)[1]
+    weights = np.concatenate([w for _, w in rows])
+    totals = np.array([w.sum() for _, w in rows])
+    dense = np.zeros(int(codes.max()) + 1)
+    links, degree, label = [], np.zeros(len(rows), np.int64), np.arange(len(rows))
+    others = np.array(right)
+    for at, x in enumerate(left):
+        near = others[at + 1 :] if left is right else others
+        common = bands[near] == bands[x]
+        own = common[:, band] & ~common[:, :band].any(1) & ~(common & ~wide[x]).any(1)
+        near = near[own & (np.minimum(totals[near], totals[x]) >= (similarity - 1e-9) * np.maximum(totals[near], totals[x]))]
+        if not len(near):
+            continue
+        mine = slice(starts[x], starts[x] + sizes[x])
+        dense[codes[mine]] = weights[mine]
+        ends = np.cumsum(sizes[near])
+        each = np.repeat(starts[near] - (ends - sizes[near]), sizes[near]) + np.arange(ends[-1])
+        both = np.add.reduceat(np.minimum(dense[codes[each]], weights[each]), ends - sizes[near])
+        dense[codes[mine]] = 0
+        found = both / (totals[near] + totals[x] - both)
+        for k in np.flatnonzero(np.abs(found - similarity) < 1e-9):  # the order of the sum may decide: as verify() does it
+            found[k] = weighted_jaccard(*(rows[i] for i in sorted((x, near[k]))))
+        near = near[found >= similarity]
+        degree[x] += len(near)
+        degree[near] += 1
+        reached, first = np.unique(label[near], return_index=True)
+        for other, k in zip(reached, first):
+            if other != label[x]:
+                links.append((x, int(near[k])))
+                label[label == other] = label[x]
+    return links, degree
+
+
+def links_in_blocks(large: DataFrame, nodes: DataFrame, texts: DataFrame, weights, similarity: float) -> DataFrame:
+    """Links (a, b, n null) and numbers of links (a, b null, n) of all candidates that share buckets of large (bucket, band, id) and no other.
+
+    A bucket's texts are dealt to blocks of at most about BLOCK texts and BLOCK_POINTS characters; every pair of blocks is one
+    group. A pair counts in its first band only.
+    """
+    wide = large.groupBy("id").agg(F.collect_set("band").alias("wide"))
+    members = wide.join(nodes.select("id", "bands"), "id").join(texts, "id")
+    measured = large.join(members.select("id", F.length("text").alias("points")), "id")
+    parts = measured.groupBy("bucket").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("points") / BLOCK_POINTS)).cast("int").alias("k"))
+    dealt = large.join(parts, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
+    met = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+    met = met.select("bucket", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id").join(members, "id")
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("id")
+        texts_ = table.column("text").combine_chunks()
+        rows = [r for start, stop in row_chunks(texts_) for r in shingle_rows(texts_.slice(start, stop - start), weights.value)]
+        ids, block = table.column("id").to_numpy(), table.column("block").to_numpy()
+        bands = np.array(table.column("bands").to_pylist(), np.int64)
+        told = np.zeros((len(ids), BANDS), bool)
+        for at, x in enumerate(table.column("wide").to_pylist()):
+            told[at, x] = True
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        left = np.flatnonzero(block == i).tolist()
+        links, degree = block_links(left, left if i == j else np.flatnonzero(block == j).tolist(), rows, bands, told, table.column("band")[0].as_py(), similarity)
+        counted = np.flatnonzero(degree)
+        a, b = (ids[np.array([x[k] for x in links], np.int64)] for k in (0, 1))
+        none, n = [None] * len(links), len(counted)
+        return pa.table({"a": pa.array([*a.tolist(), *ids[counted].tolist()], pa.int64()), "b": pa.array(b.tolist() + [None] * n, pa.int64()), "n": pa.array(none + degree[counted].tolist(), pa.int64())})
+
+    return met.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long, n long")
+
+
 def near_duplicate_rows(df: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """One row per input row: row, doc_id, digest, class_row (the first row of its class) and n_links of its text to different texts."""
     spark = df.sparkSession
@@ -214,20 +289,15 @@ def near_duplicate_rows(df: DataFrame, text: str = "text", doc_id: str = "doc_id
     found = found.join(wanted, found["__d"].eqNullSafe(wanted["doc_id"]) & (F.md5(found["text"]) == wanted["digest"])).select("id", "text")
     candidates = materialise(found.groupBy("id").agg(F.first("text").alias("text")), "candidate-texts")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        return similar_pairs(pairs, candidates, weights, similarity)
-
-    def refine(rest: DataFrame, level: int) -> DataFrame | None:
-        """Narrower buckets: members that also share the next band in a ring, at first one of the next two."""
-        if level >= BANDS:
-            return None
-        more = nodes.select("id", F.posexplode("bands").alias("next", "value"))
-        turns = rest.select("*", F.explode(F.array(*[F.pmod(F.col("band") + k, F.lit(BANDS)) for k in range(1, NEXT_BANDS[min(level, len(NEXT_BANDS)) - 1] + 1)])).alias("next"))
-        return turns.join(more, ["id", "next"]).select(F.xxhash64("bucket", "next", "value").alias("bucket"), F.col("next").alias("band"), "id", "label")
-
-    links = materialise(verified_links(entries, verify, refine), "text-links")
+    sized = materialise(entries.join(met, "bucket"), "buckets")
+    pairs = linking._pairs_within(sized.where(F.col("n") <= linking.SMALL).withColumn("label", F.lit(None).cast("long"))).distinct()
+    links = materialise(similar_pairs(materialise(pairs, "pairs"), candidates, weights, similarity), "links", linking.PAIR_ROWS).select("a", "b")
+    large = sized.where(F.col("n") > linking.SMALL).select("bucket", "band", "id")
+    blocks = materialise(links_in_blocks(large, nodes, candidates, weights, similarity), "block-links")
+    degree = links.select(F.col("a").alias("id"), F.lit(1).cast("long").alias("n")).unionByName(links.select(F.col("b").alias("id"), F.lit(1).cast("long").alias("n")))
+    degree = degree.unionByName(blocks.where("n IS NOT NULL").select(F.col("a").alias("id"), "n")).groupBy("id").agg(F.sum("n").alias("n_links"))
+    links = materialise(links.unionByName(blocks.where("n IS NULL").select("a", "b")), "text-links")
     roots = connected_components(links)
-    degree = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("n_links"))
     classes = nodes.select("id", "digest").join(roots, "id", "left").join(degree, "id", "left").select("digest", F.coalesce("root", "id").alias("class_row"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return signed.select("row", "doc_id", "digest").join(classes, "digest")
 

@@ -5,7 +5,8 @@ import pyarrow as pa
 import pytest
 
 from alluvia.llm import linking
-from alluvia.llm.near_duplicates import learn_weights, near_duplicates, shingle_rows, weighted_jaccard
+from alluvia.llm import near_duplicates as near_duplicates_module
+from alluvia.llm.near_duplicates import Sampler, learn_weights, near_duplicates, shingle_rows, weighted_jaccard
 
 DATA = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, class_id string"
@@ -73,3 +74,29 @@ def test_weighted_jaccard():
     a = (np.array([1, 2, 3], np.uint64), np.array([1.0, 2.0, 1.0]))
     b = (np.array([2, 3, 4], np.uint64), np.array([1.0, 1.0, 3.0]))
     assert weighted_jaccard(a, b) == pytest.approx(2 / 7)
+
+
+@pytest.mark.parametrize(("small", "block"), [(4, 2048), (4, 16), (linking.SMALL, 16)])
+def test_links_of_large_buckets_against_all_pairs(spark, monkeypatch, small, block):
+    monkeypatch.setattr(linking, "SMALL", small)
+    monkeypatch.setattr(near_duplicates_module, "BLOCK", block)
+    random.seed(5)
+    run = [f"w{random.randrange(5000)}" for _ in range(500)]
+    texts = [" ".join(run[i * 5 : i * 5 + 120]) for i in range(60)]  # a chain: each links to the two next
+    base = [f"v{random.randrange(500)}" for _ in range(120)]
+    for i in range(60):  # all link to all, none is the centre
+        copy = list(base)
+        copy[random.randrange(120)] = f"x{i}"
+        texts.append(" ".join(copy))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    weights = learn_weights(df.select("text"))
+    rows = list(shingle_rows(pa.array(texts), weights))
+    sampler = Sampler()
+    bands = [sampler.bands(*r) for r in rows]
+    linked = [[x != y and (bands[x] == bands[y]).any() and weighted_jaccard(rows[x], rows[y]) >= 0.8 for y in range(len(texts))] for x in range(len(texts))]
+    root = list(range(len(texts)))
+    for _ in texts:
+        root = [min([root[x], *(root[y] for y in range(len(texts)) if linked[x][y])]) for x in range(len(texts))]
+    got = {r["doc_id"]: r for r in near_duplicates(df).collect()}
+    assert [got[i]["n_links"] for i in range(len(texts))] == [sum(x) for x in linked]
+    assert [got[i]["class_id"] for i in range(len(texts))] == root
