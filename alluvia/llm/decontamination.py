@@ -5,7 +5,9 @@ Words are runs of letters and digits in lower case; shingles are five words in a
 shingle weighing as often as it occurs; a text is contaminated by an item if a window reaches 0.8 (a parameter).
 
 Windows without a shingle of the benchmark can't reach any similarity above 0, so windows are laid where text and item share
-a shingle, in the alignment of that shingle. Equal windows are taken once. Each window's 64-bit SimHash is compared with the
+a shingle, in the alignment of that shingle; one that would begin before the text or end behind it is moved inside, and a text
+shorter than the item is one window. (oracle() lays no windows there: it knows only those that lie inside as they are aligned.)
+Equal windows are taken once. Each window's 64-bit SimHash is compared with the
 items' by multi-index hashing: fingerprints are cut into 4 blocks of 16 bits; if two differ in at most 15 bits, some block
 differs in at most 3, so that looking up each block of the window among the items' blocks with all changes of up to 3 bits
 finds every fingerprint within the radius. The pairs found are then checked exactly. At similarity 0.8 the expected distance is
@@ -93,11 +95,13 @@ def contaminated(df: DataFrame, benchmark: DataFrame, text: str = "text", doc_id
     texts = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     texts = texts.withColumn("t", F.xxhash64("text"))
     spots = texts.select("doc_id", "t", F.posexplode_outer(shingle_array(word_array(F.col("text")))).alias("i", "shingle"))
-    starts = spots.join(at, "shingle").select("doc_id", "t", "length", (F.col("i") - F.col("place")).alias("start")).where("start >= 0").distinct()
+    starts = spots.join(at, "shingle").select("doc_id", "t", "length", (F.col("i") - F.col("place")).alias("start")).distinct()
     starts = materialise(starts, "windows")
     by_text = starts.groupBy("doc_id", "t").agg(F.collect_set(F.struct("start", "length")).alias("all"))
     held = texts.alias("d").join(by_text.alias("s"), F.expr("d.doc_id <=> s.doc_id AND d.t = s.t")).select("d.doc_id", shingle_array(word_array(F.col("d.text"))).alias("shingles"), "s.all")
-    windows = held.select("doc_id", "shingles", F.explode_outer("all").alias("x")).where(F.col("x.start") + F.col("x.length") <= F.size("shingles") + (SHINGLE - 1))
+    n_words = F.size("shingles") + (SHINGLE - 1)
+    inside = F.transform("all", lambda x: F.struct(F.greatest(F.lit(0), F.least(x["start"], n_words - x["length"])).alias("start"), F.least(x["length"], n_words).alias("length")))
+    windows = held.select("doc_id", "shingles", F.explode(F.array_distinct(inside)).alias("x"))
     windows = windows.select("doc_id", F.col("x.start").alias("start"), F.slice("shingles", F.col("x.start") + 1, F.col("x.length") - (SHINGLE - 1)).alias("part"))
     windows = materialise(windows.select("doc_id", "start", F.xxhash64("part").alias("content"), "part").distinct(), "window-shingles")
 

@@ -95,3 +95,13 @@ def test_wrapper_tells_slots_from_template(spark):
         assert got[i] == [f"Title {i}", *[f"quote {i}"] * (i % 2), *(f"text {i} {j}" for j in range(1 + i % 3))]
     assert got[9] == ["By our staff", "Title 1", "quote 1", "text 1 0", "text 1 1", "Home", "More"]
     assert align(["a", "(p #text /p)+", "z"], "a p #text /p z".split()) == ["a", "(p #text /p)+", "z"]
+
+
+def test_leaks_at_the_edges_of_a_text(spark):
+    words = [f"w{i}" for i in range(40)]
+    more = [f"m{i}" for i in range(30)]
+    texts = [words[1:] + more, more + words[:-1], words[2:-2], more + words[10:], more + words + more]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    got = {r["doc_id"]: (r["item_id"], round(r["similarity"], 3), r["start_word"]) for r in decontamination.contaminated(docs, items).collect()}
+    assert got == {0: (7, 0.946, 0), 1: (7, 0.946, 29), 2: (7, 0.889, 0), 4: (7, 1.0, 30)}
