@@ -5,7 +5,7 @@ import duckdb
 import pytest
 
 from alluvia.llm import decontamination, licences
-from alluvia.llm.html_wrappers import align, main_texts, with_groups
+from alluvia.llm.html_wrappers import align, main_texts, parse, with_groups
 from alluvia.llm.language_id import language_id
 from alluvia.llm.secret_scan import secret_scan
 from alluvia.llm.sentence_pieces import decode_ids, encode_texts, encoding_digests
@@ -105,3 +105,21 @@ def test_leaks_at_the_edges_of_a_text(spark):
     items = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
     got = {r["doc_id"]: (r["item_id"], round(r["similarity"], 3), r["start_word"]) for r in decontamination.contaminated(docs, items).collect()}
     assert got == {0: (7, 0.946, 0), 1: (7, 0.946, 29), 2: (7, 0.889, 0), 4: (7, 1.0, 30)}
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<body class='home right-sidebar'><p>body</p><div class='sidebar'>no</div></body>", "body"),
+        ("<div id='content' class='no-sidebar'><p>body</p></div><div class='ad-banner'>no</div>", "body"),
+        ("<article class='comment'><p>body</p></article><div aria-hidden=true>no</div><div hidden>no</div>", "body"),
+        ("<div style='overflow: hidden' title='see class=ad hidden'><p>body</p></div><div class=ad>no</div>", "body"),
+        ("<div data-role='banner' aria-hidden='false'><p>body</p></div><p role=banner>no</p>", "body"),
+        ("<div class='sidebar'><p>all there is</p></div><nav>no</nav>", "all there is"),
+        ("<form><p>all there is</p></form><script>no</script>", "all there is"),
+        ("<article hidden>no</article><main class='sidebar'><p>body</p></main>", "body"),
+        ("<head><title>no</title></head><script>no</script>", ""),
+    ],
+)
+def test_noise_never_empties_a_page(page, text):
+    assert "\n".join(t for _, t, _ in parse(page)[0]) == text
