@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from alluvia.llm.line_dedup import LEAST_POINTS, line_dedup, within_edits, without_repeats
+from alluvia.llm.line_dedup import POINTS_PER_EDIT, line_dedup, within_edits, without_repeats
 
 
 def distance(a, b):
@@ -48,7 +48,8 @@ def brute(rows):
     for i, x in enumerate(lines):
         for j in range(i):
             a, b = x[3], lines[j][3]
-            if a == b or (min(len(a), len(b)) >= LEAST_POINTS and abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2):
+            most = min(2, min(len(a), len(b)) // POINTS_PER_EDIT)
+            if a == b or (abs(len(a) - len(b)) <= most and distance(a, b) <= most):
                 p, q = find(i), find(j)
                 root[max(p, q)] = min(p, q)
     first = {}
@@ -63,9 +64,10 @@ def brute(rows):
 
 
 @pytest.mark.parametrize("crowd", [0, 50])
-def test_against_all_pairs(spark, crowd):
+@pytest.mark.parametrize("longest", [60, 26])
+def test_against_all_pairs(spark, crowd, longest):
     rng = random.Random(5)
-    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(5, 60))) for _ in range(30)]
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(5, longest))) for _ in range(30)]
     rows = []
     for i in range(40):
         text = "\n".join([edited(rng, rng.choice(base), rng.randint(0, 3)) for _ in range(4)] + ["", "  "] * (i % 2))
@@ -99,3 +101,38 @@ def test_stored_rows_are_numbered_without_a_copy(spark, tmp_path):
     kept = without_repeats(stored).collect()
     assert sum(line in (r.text or "") for r in kept) == 1
     assert sum(r.text is None for r in kept) == 20
+
+
+def test_crowd_of_one_prefix(spark):
+    """Thousands of different lines with one beginning: every pair is within the edits or apart as brute force on a sample of the ends says."""
+    rng = random.Random(9)
+    ends = ["".join(rng.choice("abcdefghij") for _ in range(12)) for _ in range(1500)]
+    ends += [edited(rng, rng.choice(ends), rng.randint(1, 3)) for _ in range(700)]
+    rows = [(i, "2026-01-01 00:00:00 service started on host " + e) for i, e in enumerate(ends)]
+    got = {r["doc_id"]: r["repeats"] for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()}
+    root = list(range(len(ends)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    deleted = {}
+    for i, e in enumerate(ends):  # lines within two edits share what is left when each loses at most two code points
+        cuts = {e} | {e[:k] + e[k + 1 :] for k in range(len(e))}
+        cuts |= {c[:k] + c[k + 1 :] for c in list(cuts) for k in range(len(c))}
+        near = {j for c in cuts for j in deleted.get(c, ())}
+        for j in near:
+            if distance(e, ends[j]) <= 2:
+                p, q = find(i), find(j)
+                root[max(p, q)] = min(p, q)
+        for c in cuts:
+            deleted.setdefault(c, []).append(i)
+    assert got == {i: "" if find(i) == i else f"0:{find(i)}:0" for i in range(len(ends))}
+
+
+def test_clashing_columns(spark):
+    rows = [(1, "same line\nown", 3, "x", True), (2, "same line\nother", 4, "y", False)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row int, lines string, __drop boolean")
+    assert without_repeats(df).orderBy("doc_id").collect() == [(1, "same line\nown", 3, "x", True), (2, "other", 4, "y", False)]
+    assert line_dedup(df).count() == 2
