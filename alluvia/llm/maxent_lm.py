@@ -1,15 +1,23 @@
 """Language model scores: a hashed maximum-entropy model with a class-factored softmax, and the smoothed unigram base.
 
 Tokens are runs of other bytes than ASCII white space, A-Z in lower case, and one end token after each text. Words with at
-least 1 in 2**18 of all training tokens ("heavy", so at most 2**18) have frequency classes of about equal mass; all others
-fall into classes by hash bits. P(word | history) = P(class | history) * P(word | class): the class factor is a softmax over
-hashed features of the history (last word, last two words, and the words one and two before the last alone, as skips); the
-word factor is the smoothed share of the word in its class. Weights are trained by gradient steps on all training texts: each
-task steps through its tokens, and the tasks' weights are averaged by feature, weighted by how often each saw it.
+least 1 in 2**18 of all training tokens ("heavy", so at most 2**18) are dealt by frequency to 224 leaves of about equal mass, so
+that the most frequent words have leaves of their own; all others fall into 32 leaves by hash bits. A leaf's number has two
+digits, its class and its place there:
+
+    P(word | history) = P(class | history) * P(leaf | class, history) * P(word | leaf)
+
+The first two factors are softmaxes over hashed features of the history (last word, last two words, and the words one and two
+before the last alone, as skips; for the second factor together with the class); the last is the word's smoothed share of its
+leaf, with a share for words never seen. There is one row of weights for about 2**13 training tokens, from 2**13 up to 2**18 rows.
+
+Training takes ROUNDS synchronised rounds, each over the texts of one hash shard: every task sums seen and expected counts by
+feature and digit under the round's weights, the sums are added up, and the weights move along the gradient (seen minus
+expected), scaled by the expected counts. How rows are split into tasks changes nothing but the order of sums.
 
 Words outside the heavy table get their counts by a join on their hash, so that nothing that grows with the vocabulary is
 broadcast. Null texts are empty: one end token. Rows may repeat; each is scored and, unless held out, learnt from. Without
-training texts all counts are 0.
+training texts all counts are 0. Other columns than the text and the id are not read.
 """
 
 from __future__ import annotations
@@ -29,12 +37,17 @@ from alluvia.llm.storage import materialise
 WORDS = letters_table(b"\x20\x09\x0a\x0b\x0c\x0d")
 END, START = np.uint64(0x5EED0E4D5EED0E4D), np.uint64(0x5EED57A275EED57A)
 HEAVY = 1 << 18
-HEAVY_CLASSES, TAIL_BITS = 24, 3
-CLASSES = HEAVY_CLASSES + (1 << TAIL_BITS)
-FEATURE_BITS = 13
+DIGITS = 16
+TAIL_BITS = 5
+LEAVES = DIGITS * DIGITS
+HEAVY_LEAVES = LEAVES - (1 << TAIL_BITS)
+LEAST_BITS, MOST_BITS, TOKENS_A_ROW = 13, 18, 13
 SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 STEP_TOKENS = 16384
-RATE = 0.5
+ROUNDS = 3
+SMOOTHING = 4
+RATE = 0.35
+PARTS = 8
 FOLD = 64
 
 
@@ -56,16 +69,22 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def features(token: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Hashed features of each token's history, one row for each kind of feature."""
+    """64-bit features of each token's history, one row for each kind of feature."""
     at = np.arange(len(token)) - np.repeat(offsets[:-1], np.diff(offsets))
     last = []
     for k in (1, 2, 3):
         x = np.full(len(token), START)
         x[k:] = token[:-k] if len(token) > k else x[k:]
         last.append(np.where(at >= k, x, START))
-    shift = np.uint64(64 - FEATURE_BITS)
     kinds = (last[0], last[0] * np.uint64(3) + last[1], last[1], last[2])
-    return np.stack([(mix(x * s) >> shift).astype(np.int64) for x, s in zip(kinds, SEEDS)])
+    return np.stack([mix(x * s) for x, s in zip(kinds, SEEDS)])
+
+
+def weight_rows(feature: np.ndarray, classes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of weights of the first digit, and of the second, for which the class is part of the feature."""
+    shift = np.uint64(64 - bits)
+    second = (feature ^ (classes.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (feature >> shift).astype(np.int64), (second >> shift).astype(np.int64)
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
@@ -82,27 +101,30 @@ def token_counts(texts: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """Heavy words with their counts and classes, and count and size of every class."""
+    """Heavy words with their counts and leaves, count and size of every leaf, and the digits' log shares."""
 
     def __init__(self, total: int, distinct: int, keys: np.ndarray, counts: np.ndarray, tail: dict[int, tuple[int, int]]):
         order = np.lexsort((keys, -counts))
         keys, self.counts = keys[order], counts[order].astype(np.float64)
         self.total, self.distinct, self.table = total, distinct, Table(keys, self.counts)
         mass = np.cumsum(self.counts) - self.counts / 2
-        self.classes = np.minimum((mass / max(self.counts.sum(), 1) * HEAVY_CLASSES).astype(np.int64), HEAVY_CLASSES - 1)
-        n = np.bincount(self.classes, self.counts, CLASSES) if len(keys) else np.zeros(CLASSES)
-        v = np.bincount(self.classes, minlength=CLASSES) if len(keys) else np.zeros(CLASSES, np.int64)
+        self.leaves = np.minimum((mass / max(self.counts.sum(), 1) * HEAVY_LEAVES).astype(np.int64), HEAVY_LEAVES - 1)
+        n = np.bincount(self.leaves, self.counts, LEAVES) if len(keys) else np.zeros(LEAVES)
+        v = np.bincount(self.leaves, minlength=LEAVES) if len(keys) else np.zeros(LEAVES, np.int64)
         for k, (tokens_, words_) in tail.items():
-            n[HEAVY_CLASSES + k], v[HEAVY_CLASSES + k] = tokens_, words_
+            n[HEAVY_LEAVES + k], v[HEAVY_LEAVES + k] = tokens_, words_
         self.log_size = np.log10(n + 0.5 * (v + 1))
-        self.bias = np.log((n + 0.5) / (n + 0.5).sum()).astype(np.float32)
+        share = (n + 0.5).reshape(DIGITS, DIGITS)
+        self.first = np.log(share.sum(1) / share.sum()).astype(np.float32)
+        self.second = np.log(share / share.sum(1, keepdims=True)).astype(np.float32)
         self.log_total = math.log10(total + 0.5 * (distinct + 1))
+        self.bits = min(max(int(total).bit_length() - TOKENS_A_ROW, LEAST_BITS), MOST_BITS)
 
     def look_up(self, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place among the heavy words (-1: none) and class of each token."""
+        """Place among the heavy words (-1: none) and leaf of each token."""
         found = self.table.find(token)
-        tail = (token >> np.uint64(64 - TAIL_BITS)).astype(np.int64) + HEAVY_CLASSES
-        return found, np.where(found >= 0, self.classes[found] if len(self.classes) else tail, tail)
+        tail = (token >> np.uint64(64 - TAIL_BITS)).astype(np.int64) + HEAVY_LEAVES
+        return found, np.where(found >= 0, self.leaves[found] if len(self.leaves) else tail, tail)
 
 
 def learn_vocabulary(counts: DataFrame) -> Vocabulary:
@@ -115,8 +137,8 @@ def learn_vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(total, distinct, rows.column("word").to_numpy().view(np.uint64), rows.column("c").to_numpy(), {r["k"]: (r["n"], r["v"]) for r in tail})
 
 
-def class_log_probabilities(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Natural log P(class | history) by token and class."""
+def digit_probabilities(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Natural log P(digit | history) by token and digit."""
     z = weights[rows[0]] + bias
     for r in rows[1:]:
         z += weights[r]
@@ -125,44 +147,51 @@ def class_log_probabilities(weights: np.ndarray, bias: np.ndarray, rows: np.ndar
     return z
 
 
-def train(texts: DataFrame, vocabulary, weights: np.ndarray) -> np.ndarray:
-    """One round: every task starts from the given weights, steps through all its tokens (AdaGrad by feature), and the results are averaged."""
+def leaf_log_probabilities(weights: np.ndarray, vocabulary: Vocabulary, feature: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+    """Natural log P(leaf | history) of each token's leaf."""
+    first, second = leaf // DIGITS, leaf % DIGITS
+    one, two = weight_rows(feature, first, vocabulary.bits)
+    each = np.arange(len(leaf))
+    return digit_probabilities(weights[0], one, vocabulary.first)[each, first] + digit_probabilities(weights[1], two, vocabulary.second[first])[each, second]
+
+
+def count_sums(texts: DataFrame, vocabulary, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Seen and expected counts of each (factor, row, digit) over all tokens of the texts, under these weights."""
     shared = texts.sparkSession.sparkContext.broadcast(weights)
-    size = 1 << FEATURE_BITS
-    parts = 8
+    size = weights.shape[1]
     tasks = max(1, texts.rdd.getNumPartitions())
 
     def run(batches):
-        v, own = vocabulary.value, shared.value.copy()
-        seen, squares = np.zeros(size, np.float32), np.full(size, 1e-3, np.float32)
+        v, w = vocabulary.value, shared.value
+        seen, expected = np.zeros(2 * size * DIGITS, np.float32), np.zeros((2 * size, DIGITS), np.float32)
+        some = False
         for batch in batches:
             for start, stop in row_chunks(batch.column(0)):
+                some = True
                 token, offsets = tokens(batch.column(0).slice(start, stop - start))
-                rows, (_, classes) = features(token, offsets), v.look_up(token)
+                feature, (_, leaves) = features(token, offsets), v.look_up(token)
                 for a in range(0, len(token), STEP_TOKENS):
-                    r, k = rows[:, a : a + STEP_TOKENS], classes[a : a + STEP_TOKENS]
-                    error = -np.exp(class_log_probabilities(own, v.bias, r))
-                    error[np.arange(len(k)), k] += 1
-                    for one in r:
-                        order = np.argsort(one, kind="stable")
-                        names, first, n = np.unique(one[order], return_index=True, return_counts=True)
-                        g = np.add.reduceat(error[order], first, axis=0)
-                        squares[names] += (g * g).mean(1)
-                        own[names] += RATE * g / np.sqrt(squares[names])[:, None] / len(r)
-                        seen[names] += n
-        own *= seen[:, None]
-        gid = TaskContext.get().partitionId() // FOLD
-        cut = size // parts
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(parts), pa.int32()), pa.array([gid] * parts, pa.int64()), pa.array([own[p * cut : (p + 1) * cut].tobytes() for p in range(parts)], pa.binary()), pa.array([seen[p * cut : (p + 1) * cut].tobytes() for p in range(parts)], pa.binary())],
-            ["part", "gid", "weights", "seen"],
-        )
+                    f, leaf = feature[:, a : a + STEP_TOKENS], leaves[a : a + STEP_TOKENS]
+                    first, second = leaf // DIGITS, leaf % DIGITS
+                    one, two = weight_rows(f, first, v.bits)
+                    p = np.exp(np.concatenate([digit_probabilities(w[0], one, v.first), digit_probabilities(w[1], two, v.second[first])]))
+                    rows = np.concatenate([one, two + size], 1).ravel()
+                    digit = np.tile(np.concatenate([first, second]), len(f))
+                    at, n = np.unique(rows * DIGITS + digit, return_counts=True)
+                    seen[at] += n
+                    order = np.argsort(rows, kind="stable")
+                    names, begins = np.unique(rows[order], return_index=True)
+                    expected[names] += np.add.reduceat(p[order % len(p)], begins, axis=0)
+        if some:
+            gid, cut = TaskContext.get().partitionId() // FOLD, 2 * size // PARTS
+            sums = [[x.reshape(2 * size, DIGITS)[p * cut : (p + 1) * cut].tobytes() for p in range(PARTS)] for x in (seen, expected)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([gid] * PARTS, pa.int64()), *(pa.array(x, pa.binary()) for x in sums)], ["part", "gid", "seen", "expected"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = {c: sum(np.frombuffer(x, np.float32).astype(np.float64) for x in pdf[c]).astype(np.float32).tobytes() for c in ("weights", "seen")}
-        return pd.DataFrame({"part": pdf["part"].iloc[:1], "gid": pdf["gid"].iloc[:1] // FOLD, "weights": [total["weights"]], "seen": [total["seen"]]})
+        total = {c: sum(np.frombuffer(x, np.float32).astype(np.float64) for x in pdf[c]).astype(np.float32).tobytes() for c in ("seen", "expected")}
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "gid": pdf["gid"].iloc[:1] // FOLD, "seen": [total["seen"]], "expected": [total["expected"]]})
 
-    schema = "part int, gid long, weights binary, seen binary"
+    schema = "part int, gid long, seen binary, expected binary"
     sums = texts.mapInArrow(run, schema)
     left = math.ceil(tasks / FOLD)
     while True:  # at most FOLD vectors meet in one group, level by level
@@ -170,13 +199,23 @@ def train(texts: DataFrame, vocabulary, weights: np.ndarray) -> np.ndarray:
         if left <= 1:
             break
         left = math.ceil(left / FOLD)
-    out = weights.copy()
+    out = np.zeros((2, 2 * size, DIGITS), np.float32)
     for r in sums.collect():
-        seen = np.frombuffer(r["seen"], np.float32)
-        own = np.frombuffer(r["weights"], np.float32).reshape(len(seen), CLASSES)
-        at = r["part"] * len(seen)
-        out[at : at + len(seen)] = np.where(seen[:, None] > 0, own / np.maximum(seen, 1)[:, None], out[at : at + len(seen)])
-    return out
+        cut = 2 * size // PARTS
+        for x, name in zip(out, ("seen", "expected")):
+            x[r["part"] * cut : (r["part"] + 1) * cut] = np.frombuffer(r[name], np.float32).reshape(cut, DIGITS)
+    shared.unpersist()
+    return tuple(x.reshape(weights.shape) for x in out)
+
+
+def train(texts: DataFrame, vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights (factor, row, digit) after so many rounds; round k sees the texts whose hash has remainder k."""
+    weights = np.zeros((2, 1 << vocabulary.value.bits, DIGITS), np.float32)
+    for k in range(rounds):
+        shard = texts.where(F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(rounds)) == k)
+        seen, expected = count_sums(shard, vocabulary, weights)
+        weights += np.float32(RATE) * np.log1p((seen - expected) / (expected + SMOOTHING))
+    return weights
 
 
 SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, tail array<struct<word: long, n: int>>"
@@ -193,14 +232,13 @@ def score_heavy(df: DataFrame, vocabulary, weights) -> DataFrame:
             for start, stop in row_chunks(batch.column(2)):
                 b = batch.slice(start, stop - start)
                 token, offsets = tokens(b.column(2))
-                (found, classes), rows = v.look_up(token), features(token, offsets)
+                (found, leaves), feature = v.look_up(token), features(token, offsets)
                 factor = np.empty(len(token))
                 for a in range(0, len(token), STEP_TOKENS):
-                    k = classes[a : a + STEP_TOKENS]
-                    factor[a : a + STEP_TOKENS] = class_log_probabilities(weights.value, v.bias, rows[:, a : a + STEP_TOKENS])[np.arange(len(k)), k]
+                    factor[a : a + STEP_TOKENS] = leaf_log_probabilities(weights.value, v, feature[:, a : a + STEP_TOKENS], leaves[a : a + STEP_TOKENS])
                 own = np.where(found >= 0, logs[found], 0.0)
                 n = np.diff(offsets)
-                sums = [np.add.reduceat(x, offsets[:-1]) for x in (own, own + factor / math.log(10) - v.log_size[classes], (found >= 0).astype(np.int64))]
+                sums = [np.add.reduceat(x, offsets[:-1]) for x in (own, own + factor / math.log(10) - v.log_size[leaves], (found >= 0).astype(np.int64))]
                 rare = np.flatnonzero(found < 0)
                 of_row = np.repeat(np.arange(len(n), dtype=np.uint64), n)[rare]
                 order = np.lexsort((token[rare], of_row))
@@ -217,7 +255,7 @@ def score_heavy(df: DataFrame, vocabulary, weights) -> DataFrame:
     return df.select("doc_id", "held_out", "text").mapInArrow(run, SCORED)
 
 
-def lm_scores(df: DataFrame, text: str = "text", doc_id: str = "doc_id", rounds: int = 1) -> DataFrame:
+def lm_scores(df: DataFrame, text: str = "text", doc_id: str = "doc_id", rounds: int = ROUNDS) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (both log10)."""
     sc = df.sparkSession.sparkContext
     df = df.select(F.col(doc_id).cast("long").alias("doc_id"), is_held_out(F.col(doc_id)).alias("held_out"), F.col(text).alias("text"))
@@ -225,9 +263,7 @@ def lm_scores(df: DataFrame, text: str = "text", doc_id: str = "doc_id", rounds:
     counts = materialise(token_counts(training), "token-counts")
     vocabulary = learn_vocabulary(counts)
     shared = sc.broadcast(vocabulary)
-    weights = np.zeros((1 << FEATURE_BITS, CLASSES), np.float32)
-    for _ in range(rounds):
-        weights = train(training, shared, weights)
+    weights = train(training, shared, rounds)
     scored = materialise(score_heavy(df, shared, sc.broadcast(weights)), "lm-scored")
     rare = counts.where(F.col("c") < vocabulary.total // HEAVY + 1)
     tail = scored.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n").join(rare, "word", "left")
