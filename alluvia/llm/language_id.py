@@ -1,11 +1,13 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Texts are lower-cased, every run of other characters than letters becomes one space, and all n-grams of 1 to 4 code points are
-hashed to buckets. Each language has one log probability per bucket (Laplace smoothing); the matrix is broadcast, its size
-being languages x buckets whatever the corpus. Batches are scored by gathering and summing in numpy.
+hashed to buckets. Each language has one log probability per bucket (Laplace smoothing) and a prior, its smoothed share of the
+learnt texts; the matrix is broadcast, its size being languages x buckets whatever the corpus. Batches are scored by gathering
+and summing in numpy, sums over a text's n-grams of all orders.
 
 Null texts and texts without a letter are `und` with score 0. Ties go to the first language in sorted order. Languages are
-those of the labelled rows; without any, every text is `und`.
+those of the labelled rows; without any, and so for an empty table, every text is `und`. Repeated rows give repeated rows.
+Columns of the input may have any names: those that clash with a result's are replaced, in identify() by names of one's choice.
 """
 
 from __future__ import annotations
@@ -51,7 +53,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     room = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(n)
     out = np.full((LONGEST, n), BUCKETS, np.int32)
     value = np.zeros(n, np.uint32)
-    for k in range(LONGEST):
+    for k in range(min(LONGEST, n)):
         value = value[: n - k] * np.uint32(0x01000193) + (points[k:] + np.uint32(k)) * np.uint32(0x9E3779B1)
         mixed = value ^ (value >> np.uint32(15))
         mixed = mixed * np.uint32(0x85EBCA6B)
@@ -67,13 +69,13 @@ def is_held_out(doc_id: Column, parts: int = 4, part: int = 2) -> Column:
 
 
 class LanguageModel:
-    """Sorted languages and their log probabilities by bucket; the last column, for no n-gram, is zero."""
+    """Sorted languages, their log probabilities by bucket, of which the last column, for no n-gram, is zero, and their log priors."""
 
-    def __init__(self, languages: list[str], log_probability: np.ndarray):
-        self.languages, self.log_probability = languages, log_probability
+    def __init__(self, languages: list[str], log_probability: np.ndarray, log_prior: np.ndarray):
+        self.languages, self.log_probability, self.log_prior = languages, log_probability, log_prior
 
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Summed log probabilities by language and text, and whether the text has a letter."""
+        """Log priors and summed log probabilities by language and text, and whether the text has a letter."""
         buckets, offsets = grams(texts)
         some = np.diff(offsets) > 0
         out = np.zeros((len(self.languages), len(texts)))
@@ -82,11 +84,11 @@ class LanguageModel:
             for order in buckets[1:]:
                 each += row[order]
             total = np.concatenate([[0.0], np.cumsum(each)])
-            out[k] = total[offsets[1:]] - total[offsets[:-1]]
+            out[k] = self.log_prior[k] + total[offsets[1:]] - total[offsets[:-1]]
         return out, some
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """The most probable language of each text and its posterior probability under equal priors."""
+        """The most probable language of each text and its posterior probability."""
         if not self.languages:
             return ["und"] * len(texts), np.zeros(len(texts))
         log, some = self.scores(texts)
@@ -106,15 +108,15 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
         labelled = labelled.where(F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)) < int(fit_rows / n * (1 << 30)))
 
     def count(batches):
-        counts: dict[str, np.ndarray] = {}
+        counts: dict[str, np.ndarray] = {}  # the last place is the number of texts
         for batch in batches:
             for start, stop in row_chunks(batch.column(1)):
                 b = batch.slice(start, stop - start)
                 buckets, offsets = grams(b.column(1).to_pylist())
                 for k, label in enumerate(b.column(0).to_pylist()):
                     counts.setdefault(label, np.zeros(BUCKETS + 1, np.int64))
-                    counts[label] += np.bincount(buckets[:, offsets[k] : offsets[k + 1]].ravel(), minlength=BUCKETS + 1)
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([c[:BUCKETS].tobytes() for c in counts.values()], pa.binary())], ["lang", "counts"])
+                    counts[label] += np.append(np.bincount(buckets[:, offsets[k] : offsets[k + 1]].ravel(), minlength=BUCKETS + 1)[:BUCKETS], 1)
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([c.tobytes() for c in counts.values()], pa.binary())], ["lang", "counts"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(x, np.int64) for x in pdf["counts"])
@@ -123,27 +125,27 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     schema = "lang string, counts binary"
     sample = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).repartition(FIT_TASKS)
     rows = sorted(sample.mapInArrow(count, schema).groupBy("lang").applyInPandas(add, schema).collect())
-    matrix = np.zeros((len(rows), BUCKETS + 1), np.float32)
+    matrix, texts = np.zeros((len(rows), BUCKETS + 1), np.float32), np.zeros(len(rows))
     for k, row in enumerate(rows):
-        counts = np.frombuffer(row["counts"], np.int64)
+        counts, texts[k] = np.frombuffer(row["counts"], np.int64)[:BUCKETS], np.frombuffer(row["counts"], np.int64)[BUCKETS]
         matrix[k, :BUCKETS] = np.log((counts + 0.5) / (counts.sum() + 0.5 * BUCKETS))
-    return LanguageModel([r["lang"] for r in rows], matrix)
+    return LanguageModel([r["lang"] for r in rows], matrix, np.log((texts + 0.5) / (texts + 0.5).sum()) if rows else texts)
 
 
-def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """All columns of df with lang_pred and score; clashing columns of df are replaced."""
+def identify(df: DataFrame, model: LanguageModel, text: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """All columns of df and two of these names; clashing columns of df are replaced."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    df = df.drop("lang_pred", "score")
+    df = df.drop(lang_pred, score)
     at, names = df.columns.index(text), df.columns
 
     def run(batches):
         for batch in batches:
             for start, stop in row_chunks(batch.column(at)):
                 b = batch.slice(start, stop - start)
-                langs, score = shared.value.predict([t or "" for t in b.column(at).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(score, pa.float64())], [*names, "lang_pred", "score"])
+                langs, each = shared.value.predict([t or "" for t in b.column(at).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(each, pa.float64())], [*names, lang_pred, score])
 
-    return df.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in df.dtypes) + ", lang_pred string, score double")
+    return df.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in df.dtypes) + f", `{lang_pred}` string, `{score}` double")
 
 
 def language_id(df: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", fit_rows: int = FIT_ROWS) -> DataFrame:
