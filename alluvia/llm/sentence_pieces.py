@@ -3,9 +3,11 @@
 The encoder keeps a score-ordered agenda of adjacent symbol pairs and merges the best pair (ties: the leftmost) until none is
 a piece. Where no piece of the vocabulary holds a space mark after another character, nor an ASCII sign or digit beside a Latin letter, a text falls apart before each run of space marks and between signs and letters, and equal parts have equal ids;
 parts are memoised. Models of which this isn't true are refused. Each part new to a worker is checked, batch by batch, against
-the sentencepiece library, whose answer counts if the two should ever differ.
+the sentencepiece library: if the two should ever differ, the library's ids count, and the result says how many of a text's
+parts differed (n_differing), so that a broken agenda shows.
 
-Nulls are empty texts; an empty text has no ids. Repeated rows give repeated rows; other columns are left out unless named.
+Nulls are empty texts; an empty text has no ids. Repeated rows give repeated rows; other columns are left out unless named, and
+may have any names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -76,7 +78,7 @@ class PieceCoder:
                     self.plain = False
         if trainer.get(3, 1) != 2 or not self.plain:
             raise ValueError("a merge-type model with identity normalisation is needed")
-        self.unknown, self.memo, self.differing = sp.unk_id(), {}, 0
+        self.unknown, self.memo, self.differing = sp.unk_id(), {}, set()
 
     def merge(self, text: str) -> list[int]:
         """The ids of one part, by the agenda."""
@@ -122,8 +124,8 @@ class PieceCoder:
             out.append(ids if m else ids[len(lead) :])
         return out
 
-    def encode(self, texts: list[str]) -> list[list[list[int]]]:
-        """For each text the ids of its parts. Parts new to this worker are checked against the library."""
+    def encode(self, texts: list[str]) -> list[tuple[list[list[int]], int]]:
+        """For each text the ids of its parts, and how many of them the agenda got wrong. Parts new to this worker are checked against the library."""
         memo = self.memo
         cut = [PARTS.findall((MARK if self.prefix and t else "") + t.replace(" ", MARK)) for t in texts]
         new = {p for parts in cut for p in parts if p not in memo}
@@ -131,11 +133,12 @@ class PieceCoder:
         ids = [self.merge(p) for p in fresh]
         for k, theirs in enumerate(self.library_ids(fresh)):
             if theirs != ids[k]:
-                self.differing += 1
+                self.differing.add(fresh[k])
                 ids[k] = theirs
         found = dict(zip(fresh, ids))
         memo.update(found)
-        out = [[memo[p] for p in parts] for parts in cut]
+        wrong = self.differing
+        out = [([memo[p] for p in parts], sum(p in wrong for p in parts) if wrong else 0) for parts in cut]
         if len(memo) > MEMO_PARTS:
             memo.clear()
         else:
@@ -163,17 +166,18 @@ def _slices(batch: pa.RecordBatch, at: int):
 
 
 def encode_texts(df: DataFrame, model: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns, ids array<int> of the whole text and decoded, the library's text for those ids."""
+    """The kept columns, ids array<int> of the whole text, decoded, the library's text for those ids, and n_differing."""
     kept = df.select(*keep, F.col(text).alias("__text"))
 
     def run(batches):
         own = coder(model)
         for batch in batches:
             for b in _slices(batch, len(keep)):
-                ids = [[i for part in parts for i in part] for parts in own.encode([t or "" for t in b.column(len(keep)).to_pylist()])]
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(ids, pa.list_(pa.int32())), pa.array(own.library.decode(ids) if ids else [], pa.string())], [*keep, "ids", "decoded"])
+                coded = own.encode([t or "" for t in b.column(len(keep)).to_pylist()])
+                ids = [[i for part in parts for i in part] for parts, _ in coded]
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(ids, pa.list_(pa.int32())), pa.array(own.library.decode(ids) if ids else [], pa.string()), pa.array([n for _, n in coded], pa.int64())], [*keep, "ids", "decoded", "n_differing"])
 
-    return kept.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in kept.dtypes[:-1]) + ", ids array<int>, decoded string")
+    return kept.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in kept.dtypes[:-1]) + ", ids array<int>, decoded string, n_differing long")
 
 
 def decode_ids(df: DataFrame, model: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -190,7 +194,7 @@ def decode_ids(df: DataFrame, model: str, ids: str = "ids", keep: tuple[str, ...
 
 
 def encoding_digests(df: DataFrame, model: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row: encode_texts and decode_ids in one pass, without moving the ids."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and n_differing of each row: encode_texts and decode_ids in one pass, without moving the ids."""
     kept = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches):
@@ -198,12 +202,13 @@ def encoding_digests(df: DataFrame, model: str, text: str = "text", doc_id: str
         decimal = [str(i) for i in range(own.library.get_piece_size())]
         for batch in batches:
             for b in _slices(batch, 1):
-                n, ids_of, text_of = [], [], []
-                for parts in own.encode([t or "" for t in b.column(1).to_pylist()]):
+                n, ids_of, text_of, wrong = [], [], [], []
+                for parts, differing in own.encode([t or "" for t in b.column(1).to_pylist()]):
                     ids = [i for part in parts for i in part]
                     n.append(len(ids))
+                    wrong.append(differing)
                     ids_of.append(hashlib.sha256(",".join([decimal[i] for i in ids]).encode()).hexdigest())
                     text_of.append(hashlib.sha256(own.library.decode(ids).encode() if ids else b"").hexdigest())
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_of, pa.string()), pa.array(text_of, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_of, pa.string()), pa.array(text_of, pa.string()), pa.array(wrong, pa.int64())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_differing"])
 
-    return kept.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return kept.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_differing long")
