@@ -5,7 +5,8 @@ are five words in a row (all words, if there are fewer). A shingle weighs its co
 idf being 1 + log(N / df) / log(N / least df), between 1 and 2. The idf is taken from words: a df of whole shingles would make
 the text that a large group of copies shares nearly weightless, and its members would seem unlike each other only because they
 are many. Words of fewer documents than 1 in 2**17 of all (document, word) pairs share the highest idf, so that the broadcast
-table has at most 2**17 rows whatever the corpus.
+table has at most 2**17 rows whatever the corpus. That bound is a share of the documents (pairs a document / 2**17), not a
+number of them: a word that a given share of the documents holds weighs the same in a corpus of any size.
 
 Two texts link if their weighted Jaccard similarity, computed from the whole texts, is at least 0.8 (a parameter). The
 candidates share a band of ICWS samples, and every pair of candidates is compared: those of small buckets one by one, those of
@@ -152,9 +153,9 @@ class Sampler:
         return value.view(np.int64)
 
 
-def signatures(df: DataFrame, weights, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """row (unique), doc_id, digest (md5 of the text) and bands, empty for a text without words; a given column __row is the row."""
-    given = "__row" in df.columns
+def signatures(df: DataFrame, weights, text: str = "text", doc_id: str = "doc_id", row_number: str | None = None) -> DataFrame:
+    """row (unique), doc_id, digest (md5 of the text) and bands, empty for a text without words; row_number names a column that is the row."""
+    given = row_number is not None
 
     def run(batches):
         sampler, row = Sampler(), TaskContext.get().partitionId() << 40
@@ -173,7 +174,7 @@ def signatures(df: DataFrame, weights, text: str = "text", doc_id: str = "doc_id
                 yield pa.RecordBatch.from_arrays([rows, b.column(0), pa.array(digests, pa.string()), pa.array(bands, pa.list_(pa.int64()))], ["row", "doc_id", "digest", "bands"])
                 row += n
 
-    return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *(["__row"] if given else [])).mapInArrow(run, "row long, doc_id long, digest string, bands array<long>")
+    return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *([F.col(row_number).alias("row")] if given else [])).mapInArrow(run, "row long, doc_id long, digest string, bands array<long>")
 
 
 def similar_pairs(pairs: DataFrame, texts: DataFrame, weights, similarity: float) -> DataFrame:
@@ -274,12 +275,12 @@ def links_in_blocks(large: DataFrame, nodes: DataFrame, texts: DataFrame, weight
     return met.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long, n long")
 
 
-def near_duplicate_rows(df: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
+def near_duplicate_rows(df: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY, row_number: str | None = None) -> DataFrame:
     """One row per input row: row, doc_id, digest, class_row (the first row of its class) and n_links of its text to different texts."""
     spark = df.sparkSession
     texts = df.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     weights = spark.sparkContext.broadcast(learn_weights(texts))
-    signed = materialise(signatures(df, weights, text, doc_id), "signatures", TEXT_ROWS)
+    signed = materialise(signatures(df, weights, text, doc_id, row_number), "signatures", TEXT_ROWS)
     nodes = materialise(signed.groupBy("digest").agg(F.min("row").alias("id"), F.min_by("doc_id", "row").alias("doc_id"), F.min_by("bands", "row").alias("bands")), "nodes")
     entries = nodes.select("id", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "band", "id")
 
@@ -305,12 +306,13 @@ def near_duplicate_rows(df: DataFrame, text: str = "text", doc_id: str = "doc_id
 def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """One row per input row: doc_id, class_id (the least doc_id of its class), class_size in rows and n_links."""
     rows = materialise(near_duplicate_rows(df, text, doc_id, similarity), "classes")
-    classes = rows.groupBy("class_row").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+    classes = materialise(rows.groupBy("class_row").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")), "class-sizes")  # so that the join can split a large class
     return rows.join(classes, "class_row").select("doc_id", "class_id", "class_size", "n_links")
 
 
 def one_of_each_class(df: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of df that come first in their classes, whole."""
-    numbered = with_row_numbers(df, "__row")
-    first = near_duplicate_rows(numbered, text, doc_id, similarity).where("row = class_row").select(F.col("row").alias("__row"))
-    return numbered.join(first, "__row", "left_semi").select(*df.columns)
+    """The rows of df that come first in their classes, whole. Columns of df may have any names but __near_duplicates_row."""
+    name = "__near_duplicates_row"
+    numbered = with_row_numbers(df, name)
+    first = near_duplicate_rows(numbered, text, doc_id, similarity, name).where("row = class_row").select(F.col("row").alias(name))
+    return numbered.join(first, name, "left_semi").select(*df.columns)
