@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one is set only where the setting is absent, as in tests."""
+    """The folder in spark.checkpoint.dir. Where it is unset, a session in one process (as in tests) gets a temporary one; others must set it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="alluvia-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -22,13 +27,24 @@ BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 TEXT_ROWS = 1000  # rows of an Arrow batch of whole texts
 
 
-_written: list[str] = []
+_owner: ContextVar[str] = ContextVar("owner", default="")
+_written: dict[str, list[str]] = {}
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables that materialise() has written so far, but those it was told to keep: only for results that are written themselves."""
-    while _written:
-        _delete(spark, _written.pop())
+@contextmanager
+def owned(owner: str):
+    """Tables that are written inside belong to this owner, for release()."""
+    before = _owner.set(owner)
+    try:
+        yield
+    finally:
+        _owner.reset(before)
+
+
+def release(spark: SparkSession, owner: str) -> None:
+    """Delete the tables that materialise() has written for this owner, but those it was told to keep; results that read them must have been written. Tables without an owner stay."""
+    for path in _written.pop(owner, []):
+        _delete(spark, path)
 
 
 def _delete(spark: SparkSession, name: str) -> None:
@@ -50,7 +66,7 @@ def materialise(df: DataFrame, name: str, batch_rows: int = 0, keep: bool = Fals
             spark.conf.set(BATCH_ROWS, str(batch_rows))
         df.write.parquet(path)
         if not keep:
-            _written.append(path)
+            _written.setdefault(_owner.get(), []).append(path)
     finally:
         spark.conf.set(BATCH_ROWS, before)
     table = spark.read.schema(df.schema).parquet(path)
@@ -62,8 +78,9 @@ def discard(*tables: DataFrame) -> None:
     """Delete tables of materialise() that no later plan reads, so that they don't take disk until the end."""
     for table in tables:
         _delete(table.sparkSession, table.alluvia_path)
-        if table.alluvia_path in _written:
-            _written.remove(table.alluvia_path)
+        for paths in _written.values():
+            if table.alluvia_path in paths:
+                paths.remove(table.alluvia_path)
 
 
 def with_row_numbers(df: DataFrame, name: str) -> DataFrame:
