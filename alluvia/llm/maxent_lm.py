@@ -43,7 +43,7 @@ LEAVES = DIGITS * DIGITS
 HEAVY_LEAVES = LEAVES - (1 << TAIL_BITS)
 LEAST_BITS, MOST_BITS, TOKENS_A_ROW = 13, 18, 13
 SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
-STEP_TOKENS = 16384
+STEP_TOKENS = 32768
 ROUNDS = 3
 SMOOTHING = 4
 RATE = 0.35
@@ -163,7 +163,7 @@ def count_sums(texts: DataFrame, vocabulary, weights: np.ndarray) -> tuple[np.nd
 
     def run(batches):
         v, w = vocabulary.value, shared.value
-        seen, expected = np.zeros(2 * size * DIGITS, np.float32), np.zeros((2 * size, DIGITS), np.float32)
+        seen, expected = np.zeros(2 * size * DIGITS, np.int64), np.zeros((2 * size, DIGITS), np.float32)
         some = False
         for batch in batches:
             for start, stop in row_chunks(batch.column(0)):
@@ -177,14 +177,14 @@ def count_sums(texts: DataFrame, vocabulary, weights: np.ndarray) -> tuple[np.nd
                     p = np.exp(np.concatenate([digit_probabilities(w[0], one, v.first), digit_probabilities(w[1], two, v.second[first])]))
                     rows = np.concatenate([one, two + size], 1).ravel()
                     digit = np.tile(np.concatenate([first, second]), len(f))
-                    at, n = np.unique(rows * DIGITS + digit, return_counts=True)
-                    seen[at] += n
-                    order = np.argsort(rows, kind="stable")
-                    names, begins = np.unique(rows[order], return_index=True)
-                    expected[names] += np.add.reduceat(p[order % len(p)], begins, axis=0)
+                    seen += np.bincount(rows * DIGITS + digit, minlength=len(seen))
+                    order = np.argsort(rows.astype(np.uint16 if 2 * size <= 1 << 16 else np.uint32), kind="stable")  # small numbers are sorted by digits
+                    rows = rows[order]
+                    begins = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+                    expected[rows[begins]] += np.add.reduceat(p[order % len(p)], begins, axis=0)
         if some:
             gid, cut = TaskContext.get().partitionId() // FOLD, 2 * size // PARTS
-            sums = [[x.reshape(2 * size, DIGITS)[p * cut : (p + 1) * cut].tobytes() for p in range(PARTS)] for x in (seen, expected)]
+            sums = [[x.reshape(2 * size, DIGITS)[p * cut : (p + 1) * cut].tobytes() for p in range(PARTS)] for x in (seen.astype(np.float32), expected)]
             yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([gid] * PARTS, pa.int64()), *(pa.array(x, pa.binary()) for x in sums)], ["part", "gid", "seen", "expected"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
