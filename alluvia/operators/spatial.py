@@ -1,10 +1,12 @@
-"""Box geometry and cells: joins by grid cell, overlap measures, masks and zonal means."""
+"""Geometry joins by grid cell, overlap measures, masks and zonal means, for boxes and for polygons with their bounds."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from alluvia.functions import geometry as G
+from alluvia.functions.scalars import finite
 from alluvia.operators.relational import keep_best
 from alluvia.sources.staging import staged
 
@@ -20,20 +22,96 @@ def box_area(a: str) -> Column:
     return (F.col(f"{a}_x1") - F.col(f"{a}_x0")) * (F.col(f"{a}_y1") - F.col(f"{a}_y0"))
 
 
-def cells_of(df: DataFrame, prefix: str, size: int) -> DataFrame:
-    """One row for each grid cell that a box touches."""
+MOST_CELLS = 4096
+CROWD = 256
+
+
+def cells_of(df: DataFrame, prefix: str, size: float) -> DataFrame:
+    """One row for each grid cell that a box touches; a box of more than MOST_CELLS cells is an error: take larger cells."""
     at = lambda c: F.floor(F.col(f"{prefix}_{c}") / size)
-    return df.withColumn("cell_x", F.explode(F.sequence(at("x0"), at("x1")))).withColumn("cell_y", F.explode(F.sequence(at("y0"), at("y1"))))
+    n = (at("x1") - at("x0") + 1) * (at("y1") - at("y0") + 1)
+    checked = df.withColumn("__x1", F.when(n > MOST_CELLS, F.raise_error(F.lit("a box covers too many cells")).cast("long")).otherwise(at("x1")))
+    return checked.withColumn("cell_x", F.explode(F.sequence(at("x0"), F.col("__x1")))).withColumn("cell_y", F.explode(F.sequence(at("y0"), at("y1")))).drop("__x1")
 
 
-def box_join(left: DataFrame, right: DataFrame, size: int) -> DataFrame:
-    """Pairs of boxes a and b that share area: an equi-join by grid cell, each pair once, at the lower corner of what they share.
+def box_join(left: DataFrame, right: DataFrame, size: float, touching: bool = False) -> DataFrame:
+    """Pairs of boxes a and b that share area (or touch): an equi-join by grid cell, each pair once, at the lower corner of what they share.
 
-    Work is bounded by boxes per cell; size should be near the boxes' extent.
+    Size should be near the boxes' extent. Where a cell has more than CROWD boxes of the left side, they are dealt to salts, to
+    each of which the cell's right side goes: the pairs of a crowded cell are made by many tasks.
     """
-    pairs = cells_of(left, "a", size).join(cells_of(right, "b", size), ["cell_x", "cell_y"])
+    spread = cells_of(left, "a", size)
+    crowds = spread.groupBy("cell_x", "cell_y").agg(F.ceil(F.count("*") / CROWD).cast("int").alias("__k")).where("__k > 1")
+    spread = spread.join(crowds, ["cell_x", "cell_y"], "left").withColumn("__salt", F.pmod(F.xxhash64("a_id"), F.coalesce("__k", F.lit(1))).cast("int")).drop("__k")
+    others = cells_of(right, "b", size).join(crowds, ["cell_x", "cell_y"], "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__k", F.lit(1)) - 1))).drop("__k")
+    pairs = spread.join(others, ["cell_x", "cell_y", "__salt"])
     corner = (F.floor(F.greatest("a_x0", "b_x0") / size) == F.col("cell_x")) & (F.floor(F.greatest("a_y0", "b_y0") / size) == F.col("cell_y"))
-    return pairs.where(corner & (overlap_area() > 0)).drop("cell_x", "cell_y")
+    meet = (F.least("a_x1", "b_x1") >= F.greatest("a_x0", "b_x0")) & (F.least("a_y1", "b_y1") >= F.greatest("a_y0", "b_y0")) if touching else overlap_area() > 0
+    return pairs.where(corner & meet).drop("cell_x", "cell_y", "__salt")
+
+
+def with_bounds(df: DataFrame, prefix: str, shape: str) -> DataFrame:
+    """df with the bounds of a geometry as the box columns of a prefix; rows without a geometry go."""
+    names = dict(zip(("x0", "y0", "x1", "y1"), ("minx", "miny", "maxx", "maxy")))
+    held = df.withColumn("__bounds", G.st_bounds(F.col(shape))).where("__bounds IS NOT NULL")
+    return held.select(*df.columns, *[F.col(f"__bounds.{b}").alias(f"{prefix}_{c}") for c, b in names.items()])
+
+
+def polygon_join(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
+    """Pairs of geometries a_shape and b_shape that intersect, touching included: boxes by grid cell, then the exact test."""
+    pairs = box_join(with_bounds(left, "a", "a_shape"), with_bounds(right, "b", "b_shape"), size, touching=True)
+    return pairs.where(G.st_intersects(F.col("a_shape"), F.col("b_shape")))
+
+
+def overlap_pairs(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
+    """Pairs of intersecting geometries with their shared area; a pair of ids once, pairs that only touch are left out."""
+    pairs = polygon_join(left, right, size).withColumn("shared", G.st_intersection_area(F.col("a_shape"), F.col("b_shape")))
+    return pairs.where("shared > 0").dropDuplicates(["a_id", "b_id"])
+
+
+def polygon_iou(pairs: DataFrame) -> DataFrame:
+    """Pairs with iou by inclusion and exclusion of the areas."""
+    a, b = G.st_area(F.col("a_shape")), G.st_area(F.col("b_shape"))
+    return pairs.withColumn("__a", a).withColumn("__b", b).withColumn("iou", F.try_divide("shared", F.col("__a") + F.col("__b") - F.col("shared"))).drop("__a", "__b")
+
+
+def dissolved(df: DataFrame, keys: list[str], shape: str, batch: int = 64) -> DataFrame:
+    """The union of each key's geometries: batches of them are united, then the unions, until each key has one."""
+    level = staged(df.select(*keys, F.col(shape).alias("shape")), "shapes")
+    while True:
+        sizes = level.groupBy(*keys).agg(F.ceil(F.count("*") / batch).cast("int").alias("__k"), F.count("*").alias("__n"))
+        if sizes.where("__n > 1").isEmpty():
+            return level
+        dealt = level.join(sizes, keys).withColumn("__g", F.pmod(F.xxhash64("shape"), F.col("__k")))
+        united = dealt.groupBy(*keys, "__g").agg(F.collect_list("shape").alias("shapes"))
+        level = staged(united.select(*keys, G.st_union_array(F.col("shapes")).alias("shape")), "shapes")
+
+
+def in_extent(df: DataFrame, x0: float, y0: float, x1: float, y1: float) -> DataFrame:
+    """Rows whose stored bounds (minx, miny, maxx, maxy) meet an extent: plain comparisons that reach the Parquet scan."""
+    return df.where((F.col("minx") <= x1) & (F.col("maxx") >= x0) & (F.col("miny") <= y1) & (F.col("maxy") >= y0))
+
+
+def total_bounds(df: DataFrame) -> DataFrame:
+    """The bounds of all rows' bounds."""
+    return df.agg(F.min("minx").alias("minx"), F.min("miny").alias("miny"), F.max("maxx").alias("maxx"), F.max("maxy").alias("maxy"))
+
+
+def cell_area(row: Column, size: float = 0.1, south: float = -90.0) -> Column:
+    """Square metres of a cell of a grid in degrees, by its row from the south: exact on the ellipsoid, in closed form."""
+
+    def q(latitude: Column) -> Column:
+        s = F.sin(F.radians(latitude))
+        return (1 - G.E2) * (s / (1 - G.E2 * s * s) + F.atanh(G.E1 * s) / G.E1)
+
+    low = south + row * size
+    return G.AXIS * G.AXIS / 2 * F.radians(F.lit(size)) * (q(low + size) - q(low))
+
+
+def outlines(cells: DataFrame, keys: list[str], size: float = 1.0, tile: int = 64) -> DataFrame:
+    """Polygons around each key's cells (x, y), one for each tile of so many cells a side, so that no task holds a large raster."""
+    tiled = cells.groupBy(*keys, F.floor(F.col("x") / tile).alias("tile_x"), F.floor(F.col("y") / tile).alias("tile_y")).agg(F.array_sort(F.collect_set(F.struct("x", "y"))).alias("cells"))
+    return tiled.select(*keys, "tile_x", "tile_y", G.st_cells_outline(F.col("cells"), size).alias("shape"))
 
 
 def iou() -> Column:
@@ -59,28 +137,77 @@ def without_isolated(cells: DataFrame) -> DataFrame:
     return cells.join(near.distinct(), ["x", "y"], "left_semi")
 
 
-def flood_mask(flooded: Column, permanent: Column, lake: Column, height: Column, most: float = 15.0) -> Column:
-    """Flooded cells that are neither permanent water nor lake and not above the height limit; without a height none."""
-    dry = F.coalesce(permanent == 1, F.lit(False)) | F.coalesce(lake, F.lit(False))
-    return F.when(flooded.isNull(), None).when((flooded == 1) & ~dry & (F.coalesce(height, F.lit(float("inf"))) <= most), 1).otherwise(0)
+def without_water(flooded: Column, permanent: Column, lake: Column) -> Column:
+    """Flooded cells (1) that are permanent water or lake become 0; where either band has no value, the cell stays as it is."""
+    f, p = finite(flooded.cast("double")), finite(permanent.cast("double"))
+    water = (p == 1) | F.coalesce(lake, F.lit(False))
+    return F.when(p.isNotNull() & (f == 1) & water, F.lit(0.0)).otherwise(f)
+
+
+def low_enough(flooded: Column, height: Column, most: float = 15.0) -> Column:
+    """Flooded cells above the height limit, or without a height, become 0."""
+    return F.when((flooded == 1) & ~F.coalesce(finite(height) <= most, F.lit(False)), F.lit(0.0)).otherwise(flooded)
+
+
+def cleaned_flood(cells: DataFrame, most: float = 15.0) -> DataFrame:
+    """file, x, y and flooded of raster cells (file, x, y, flooded, permanent, lake, height): water out, then isolated cells, then heights.
+
+    The order counts: cells that only the height limit isolates stay.
+    """
+    dry = cells.select("file", "x", "y", "height", without_water(F.col("flooded"), F.col("permanent"), F.col("lake")).alias("flooded"))
+    wet = dry.where("flooded = 1").select("file", "x", "y")
+    offsets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j])
+    near = wet.withColumn("o", F.explode(offsets)).select("file", (F.col("x") + F.col("o.i")).alias("x"), (F.col("y") + F.col("o.j")).alias("y")).distinct().withColumn("__near", F.lit(True))
+    joined = dry.join(near, ["file", "x", "y"], "left")
+    connected = F.when((F.col("flooded") == 1) & F.col("__near").isNull(), F.lit(0.0)).otherwise(F.col("flooded"))
+    return joined.select("file", "x", "y", low_enough(connected, F.col("height"), most).alias("flooded"))
+
 
+def zonal_mean(values: DataFrame, bridge: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Mean of the finite values of each zone's cells, null if there are none; zones may overlap."""
+    v = finite(F.col(value))
+    return values.join(bridge, ["x", "y"]).groupBy(*keys).agg(F.avg(v).alias("mean_value"), F.count(v).alias("n_cells"))
 
-def zonal_mean(values: DataFrame, bridge: DataFrame, keys: list[str], value: str, digits: int = 2) -> DataFrame:
-    """Mean of the values of each zone's cells; zones may overlap. Sums are exact decimals, so that order doesn't matter."""
-    joined = values.join(bridge, ["x", "y"])
-    total, n = F.sum(F.col(value).cast(f"decimal(18,{digits})")).cast("double"), F.count(value)
-    return joined.groupBy(*keys).agg(F.try_divide(total, n).alias("mean_value"), n.alias("n_cells"))
 
+def zone_cells(zones: DataFrame, cols: int | None = None, rows: int | None = None) -> DataFrame:
+    """The bridge zone, x, y, used_fallback: unit cells whose centre a zone (a box) holds; for zones without any, cells they touch.
 
-def zone_cells(zones: DataFrame) -> DataFrame:
-    """The bridge zone, x, y, used_fallback: unit cells whose centre a zone holds; for zones without any, cells they touch."""
-    touch = zones.withColumn("x", F.explode(F.sequence(F.floor("x0"), F.ceil("x1") - 1))).withColumn("y", F.explode(F.sequence(F.floor("y0"), F.ceil("y1") - 1)))
-    centre = (F.col("x") + 0.5).between(F.col("x0"), F.col("x1")) & (F.col("y") + 0.5).between(F.col("y0"), F.col("y1"))
+    A centre on a zone's upper or right edge is not the zone's, so that neighbours don't share cells. The grid may end at cols
+    and rows; zones off the grid have no cells.
+    """
+
+    def span(a: str, b: str, n: int | None) -> Column:
+        low, high = F.floor(a), F.greatest(F.floor(a), F.ceil(b) - 1)
+        low, high = (low, high) if n is None else (F.greatest(low, F.lit(0)), F.least(high, F.lit(n - 1)))
+        return F.explode(F.when(low <= high, F.sequence(low, high)))
+
+    touch = zones.withColumn("x", span("x0", "x1", cols)).withColumn("y", span("y0", "y1", rows))
+    centre = (F.col("x") + 0.5 >= F.col("x0")) & (F.col("x") + 0.5 < F.col("x1")) & (F.col("y") + 0.5 >= F.col("y0")) & (F.col("y") + 0.5 < F.col("y1"))
     marked = touch.withColumn("inside", centre)
     hits = marked.groupBy("zone").agg(F.count_if(F.col("inside")).alias("hits"))
     return marked.join(hits, "zone").where(F.col("inside") | (F.col("hits") == 0)).select("zone", "x", "y", (F.col("hits") == 0).alias("used_fallback"))
 
 
+def polygon_cells(zones: DataFrame, shape: str, size: float = 1.0, x0: float = 0.0, y0: float = 0.0, cols: int | None = None, rows: int | None = None) -> DataFrame:
+    """The bridge zone, x, y, used_fallback of polygons: cells whose centre is inside, else cells that they touch; those off the grid have none."""
+    return zones.select("zone", F.explode(G.st_cells(F.col(shape), size, x0, y0, cols, rows)).alias("c")).select("zone", "c.*")
+
+
+def pixel_window(x0: Column, y0: Column, x1: Column, y1: Column, west: float, north: float, step: float, cols: int, rows: int) -> Column:
+    """The window (first and last column and row, ends left out) of a grid from the north-west that a box needs, one cell wider, within the grid; null if nothing is left."""
+    window = F.struct(
+        F.greatest(F.lit(0), F.floor((x0 - west) / step) - 1).alias("col_low"), F.least(F.lit(cols), F.ceil((x1 - west) / step) + 1).alias("col_high"),
+        F.greatest(F.lit(0), F.floor((north - y1) / step) - 1).alias("row_low"), F.least(F.lit(rows), F.ceil((north - y0) / step) + 1).alias("row_high"),
+    )
+    return F.when((window["col_high"] > window["col_low"]) & (window["row_high"] > window["row_low"]), window)
+
+
+def zone_report(zones: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Zones that took the cells they touch, and zones without a cell (n_cells 0)."""
+    cells = bridge.groupBy("zone").agg(F.count("*").alias("n_cells"), F.bool_or("used_fallback").alias("used_fallback"))
+    return zones.join(cells, "zone", "left").withColumns({"n_cells": F.coalesce("n_cells", F.lit(0)), "used_fallback": F.coalesce("used_fallback", F.lit(False))}).where("used_fallback OR n_cells = 0")
+
+
 def non_dominated(boxes: DataFrame, size: int, most: float = 0.5) -> DataFrame:
     """Ids of boxes (id, x0, y0, x1, y1) that no larger kept box covers by more than a share of most; ties in area go to the least id.
 

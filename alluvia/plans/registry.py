@@ -14,7 +14,7 @@ from alluvia.operators import network as N
 from alluvia.operators import relational as R
 from alluvia.operators import series as T
 from alluvia.operators import spatial as G
-from alluvia.sources.staging import table
+from alluvia.sources.staging import staged, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -70,7 +70,8 @@ def series(spark: SparkSession, d: str) -> DataFrame:
 
 
 def best_flood(spark: SparkSession, d: str) -> DataFrame:
-    return R.keep_best(flood(spark, d).na.drop(subset=["basin", "day", "event"]), ["basin", "day", "event"], F.desc("pct"), F.asc("line"))
+    rows = flood(spark, d).na.drop(subset=["basin", "day", "event"]).withColumn("pct", S.finite(F.col("pct")))
+    return R.keep_best(rows, ["basin", "day", "event"], F.desc_nulls_last("pct"), F.asc("line"))
 
 
 BEST = f"{FLOOD}, best AS (SELECT * FROM flood QUALIFY row_number() OVER (PARTITION BY basin, day, event ORDER BY pct DESC, line) = 1)"
@@ -87,19 +88,19 @@ BEST = f"{FLOOD}, best AS (SELECT * FROM flood QUALIFY row_number() OVER (PARTIT
     SELECT row_number() OVER (ORDER BY basin) AS dense_id, basin, n_flood_events, n_floodmaps, flood_event_dates, sources, n_upstream FROM told JOIN counts USING (basin) JOIN kept ON id = basin"""
 )
 def basin_flood_summary(spark, d):
-    big = best_flood(spark, d).where("pct >= 0.1").withColumn("date", F.col("day").cast("string"))
+    big = staged(best_flood(spark, d).where(S.at_least(F.col("pct"), 0.1)).select("basin", "event", "archive", F.col("day").cast("string").alias("date")), "best")
     told = big.groupBy("basin").agg(
         R.sorted_list("date").alias("flood_event_dates"), F.countDistinct("date").alias("n_flood_events"), F.countDistinct(F.struct("date", "event")).alias("n_floodmaps"), R.sorted_list("archive").alias("sources")
     )
     kept = edges(spark, d).join(big.select(F.col("basin").alias("id")).distinct(), "id", "left_semi")
-    counts = N.upstream_counts(N.upstream_closure(N.kept_edges(edges(spark, d), kept))).drop("headwater")
+    counts = N.upstream_counts(N.kept_edges(edges(spark, d), kept)).drop("headwater")
     rows = R.in_any(told, kept.withColumnRenamed("id", "basin"), "basin").join(counts, "basin")
     return R.dense_ids(rows, "basin").select("dense_id", "basin", "n_flood_events", "n_floodmaps", "flood_event_dates", "sources", "n_upstream")
 
 
 @query(f"WITH {BEST} SELECT basin, CAST(day AS VARCHAR) AS day, event, pct, archive FROM best WHERE pct >= 0.1")
 def keep_best_inundation(spark, d):
-    return best_flood(spark, d).where("pct >= 0.1").select("basin", F.col("day").cast("string").alias("day"), "event", "pct", "archive")
+    return best_flood(spark, d).where(S.at_least(F.col("pct"), 0.1)).select("basin", F.col("day").cast("string").alias("day"), "event", "pct", "archive")
 
 
 @query(f"WITH {FLOOD} SELECT archive AS source_data, basin, 'used' AS status, count(*) AS n FROM flood WHERE pct >= 0.5 GROUP BY ALL UNION ALL SELECT NULL, basin, 'not_used', count(*) FROM flood WHERE pct < 0.5 GROUP BY basin")
@@ -139,7 +140,7 @@ def upstream_closure(spark, d):
 
 @query(f"{CLOSURE} SELECT basin, count(*) - 1 AS n_upstream, count(*) = 1 AS headwater FROM up GROUP BY basin")
 def upstream_counts(spark, d):
-    return N.upstream_counts(N.upstream_closure(edges(spark, d)))
+    return N.upstream_counts(edges(spark, d))
 
 
 @query(
@@ -150,7 +151,7 @@ def upstream_counts(spark, d):
 )
 def kept_subgraph_upstream(spark, d):
     e = edges(spark, d)
-    return N.upstream_counts(N.upstream_closure(N.kept_edges(e, e.where("id % 3 <> 0")))).drop("headwater")
+    return N.upstream_counts(N.kept_edges(e, e.where("id % 3 <> 0"))).drop("headwater")
 
 
 @query(f"WITH RECURSIVE {EDGES}, path AS (SELECT id AS basin, 0 AS step, id AS place FROM edges UNION ALL SELECT basin, step + 1, e.next_down FROM path JOIN edges e ON e.id = path.place AND e.next_down <> 0) SELECT basin, step, place FROM path")
@@ -159,7 +160,7 @@ def downstream_path(spark, d):
     return N.downstream_paths(e, e.select("id"))
 
 
-@query(f"WITH {EDGES} SELECT count(*) FILTER (next_down = 0) AS n_outlets, count(*) FILTER (next_down IN (SELECT id FROM edges)) AS n_inside, count(*) FILTER (next_down <> 0 AND next_down NOT IN (SELECT id FROM edges)) AS n_missing FROM edges")
+@query(f"WITH {EDGES} SELECT count(*) FILTER (next_down = 0) AS n_outlets, count(*) FILTER (next_down IN (SELECT id FROM edges)) AS n_inside, count(*) FILTER (next_down <> 0 AND next_down NOT IN (SELECT id FROM edges)) AS n_missing, count(*) FILTER (next_down IN (SELECT id FROM edges)) * 100.0::DOUBLE / count(*) FILTER (next_down <> 0) AS inside_percentage FROM edges")
 def network_referential(spark, d):
     return N.referential_counts(edges(spark, d))
 
@@ -198,15 +199,17 @@ def isolated_cells(spark, d):
     return G.without_isolated(cells(spark, d))
 
 
-@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity >= 25 AND NOT (l_linestatus = 'O') AND NOT (l_returnflag = 'N') AND l_tax * 100 <= 4 THEN 1 ELSE 0 END AS flooded FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity < 5 THEN NULL WHEN l_quantity < 25 THEN 0.0::DOUBLE WHEN l_linenumber = 7 THEN (l_tax * 100 <= 4)::INT::DOUBLE WHEN l_linestatus = 'O' OR l_returnflag = 'N' THEN 0.0::DOUBLE ELSE (l_tax * 100 <= 4)::INT::DOUBLE END AS flooded FROM lineitem")
 def mask_algebra(spark, d):
     c = F.col
-    flooded = G.flood_mask((c("l_quantity") >= 25).cast("int"), (c("l_linestatus") == "O").cast("int"), c("l_returnflag") == "N", c("l_tax") * 100, 4.0)
+    band = F.when(c("l_quantity") < 5, F.lit(float("nan"))).otherwise((c("l_quantity") >= 25).cast("double"))
+    permanent = F.when(c("l_linenumber") != 7, (c("l_linestatus") == "O").cast("double"))
+    flooded = G.low_enough(G.without_water(band, permanent, c("l_returnflag") == "N"), c("l_tax") * 100, 4.0)
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", flooded.alias("flooded"))
 
 
 ZONES = "zones AS (SELECT s_suppkey AS zone, (s_suppkey % 30) * 1.5 AS x0, (s_suppkey % 20) * 2.25 AS y0, (s_suppkey % 30) * 1.5 + CASE WHEN s_suppkey % 5 = 0 THEN 0.4 ELSE 6.5 END AS x1, (s_suppkey % 20) * 2.25 + CASE WHEN s_suppkey % 5 = 0 THEN 0.2 ELSE 4.0 END AS y1 FROM supplier)"
-BRIDGE = f"{ZONES}, touch AS (SELECT z.*, cx AS x, cy AS y, cx + 0.5 BETWEEN x0 AND x1 AND cy + 0.5 BETWEEN y0 AND y1 AS inside FROM zones z, range(0, 70) a(cx), range(0, 70) b(cy) WHERE cx >= floor(x0) AND cx <= ceil(x1) - 1 AND cy >= floor(y0) AND cy <= ceil(y1) - 1), bridge AS (SELECT zone, x, y, NOT bool_or(inside) OVER (PARTITION BY zone) AS used_fallback FROM touch QUALIFY inside OR NOT bool_or(inside) OVER (PARTITION BY zone))"
+BRIDGE = f"{ZONES}, touch AS (SELECT z.*, cx AS x, cy AS y, cx + 0.5 >= x0 AND cx + 0.5 < x1 AND cy + 0.5 >= y0 AND cy + 0.5 < y1 AS inside FROM zones z, range(0, 70) a(cx), range(0, 70) b(cy) WHERE cx >= floor(x0) AND cx <= ceil(x1) - 1 AND cy >= floor(y0) AND cy <= ceil(y1) - 1), bridge AS (SELECT zone, x, y, NOT bool_or(inside) OVER (PARTITION BY zone) AS used_fallback FROM touch QUALIFY inside OR NOT bool_or(inside) OVER (PARTITION BY zone))"
 
 
 def zones(spark, d):
@@ -221,14 +224,14 @@ def zonal_fallback(spark, d):
     return G.zone_cells(zones(spark, d))
 
 
-@query(f"WITH {BRIDGE}, {GRID} SELECT zone, kind, CAST(sum(CAST(v AS DECIMAL(18,2))) AS DOUBLE) / count(v) AS mean_value, count(v) AS n_cells FROM grid JOIN bridge USING (x, y) GROUP BY zone, kind")
+@query(f"WITH {BRIDGE}, {GRID} SELECT zone, kind, round(avg(v), 8) AS mean_value, count(v) AS n_cells FROM grid JOIN bridge USING (x, y) GROUP BY zone, kind")
 def zonal_mean(spark, d):
-    return G.zonal_mean(grid(spark, d), G.zone_cells(zones(spark, d)), ["zone", "kind"], "v")
+    return G.zonal_mean(grid(spark, d), G.zone_cells(zones(spark, d)), ["zone", "kind"], "v").withColumn("mean_value", F.round("mean_value", 8))
 
 
-@query("SELECT user_id AS basin, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS mean_value FROM events GROUP BY ALL")
+@query("SELECT user_id AS basin, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, round(avg(value), 6) AS mean_value FROM events GROUP BY ALL")
 def daily_mean(spark, d):
-    return T.daily_mean(series(spark, d), ["basin", "event_type"], "ts", "value").withColumn("day", F.col("day").cast("string"))
+    return T.daily_mean(series(spark, d), ["basin", "event_type"], "ts", "value").select("basin", "event_type", F.col("day").cast("string").alias("day"), F.round("mean_value", 6).alias("mean_value"))
 
 
 @query("SELECT user_id AS basin, event_type, CAST(CAST(ts AS DATE) - 1 AS VARCHAR) AS day, value AS last_value FROM events WHERE value IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1")
@@ -236,11 +239,11 @@ def daily_last_shifted(spark, d):
     return T.daily_last(series(spark, d), ["basin", "event_type"], "ts", "value", "event_id").withColumn("day", F.col("day").cast("string"))
 
 
-DAYS = "days AS (SELECT user_id AS basin, CAST(ts AS DATE) AS day, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value FROM events GROUP BY ALL)"
+DAYS = "days AS (SELECT user_id AS basin, CAST(ts AS DATE) AS day, round(sum(value), 6) AS value FROM events GROUP BY ALL)"
 
 
 def _days(spark, d):
-    return series(spark, d).groupBy("basin", F.to_date("ts").alias("day")).agg(T.exact_sum(F.col("value")).alias("value"))
+    return series(spark, d).groupBy("basin", F.to_date("ts").alias("day")).agg(F.round(F.sum("value"), 6).alias("value"))
 
 
 @query(f"WITH {DAYS}, r AS (SELECT basin, min(day) AS a, max(day) AS b FROM days GROUP BY basin), c AS (SELECT basin, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day FROM r) SELECT basin, CAST(day AS VARCHAR) AS day, coalesce(value, 0) AS value FROM c LEFT JOIN days USING (basin, day)")
@@ -249,12 +252,12 @@ def densified_daily(spark, d):
     return R.daily_calendar(days, ["basin"], "day").join(days, ["basin", "day"], "left").select("basin", F.col("day").cast("string").alias("day"), F.coalesce("value", F.lit(0.0)).alias("value"))
 
 
-@query(f"WITH {DAYS}, e AS (SELECT basin, day AS event_day FROM days QUALIFY row_number() OVER (PARTITION BY basin ORDER BY value DESC, day) = 1) SELECT basin, CAST(event_day AS VARCHAR) AS event_day, CAST(day - event_day AS BIGINT) AS day_offset, value, CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY basin ORDER BY day ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running FROM days JOIN e USING (basin) WHERE abs(day - event_day) <= 5")
+@query(f"WITH {DAYS}, e AS (SELECT basin, day AS event_day FROM days QUALIFY row_number() OVER (PARTITION BY basin ORDER BY value DESC, day) = 1) SELECT basin, CAST(event_day AS VARCHAR) AS event_day, CAST(day - event_day AS BIGINT) AS day_offset, value, round(sum(value) OVER (PARTITION BY basin ORDER BY day ROWS UNBOUNDED PRECEDING), 6) AS running, round(sum(value) FILTER (day <= event_day) OVER (PARTITION BY basin), 6) AS until_event FROM days JOIN e USING (basin) WHERE abs(day - event_day) <= 5")
 def event_window(spark, d):
     days = _days(spark, d)
     peak = R.keep_best(days, ["basin"], F.desc("value"), F.asc("day")).select("basin", F.col("day").alias("event_day"))
     w = T.event_windows(days, peak, "basin", 5)
-    return w.select("basin", F.col("event_day").cast("string").alias("event_day"), F.col("offset").cast("long").alias("day_offset"), "value", "running")
+    return w.select("basin", F.col("event_day").cast("string").alias("event_day"), F.col("offset").cast("long").alias("day_offset"), "value", F.round("running", 6).alias("running"), F.round("until_event", 6).alias("until_event"))
 
 
 @query("SELECT event_id, CASE event_type WHEN 'view' THEN value * 1000 WHEN 'click' THEN value - 273.15 ELSE -value END AS converted, CAST(round_even(value / 0.05, 0) AS INTEGER) AS stored FROM events")
@@ -264,21 +267,23 @@ def unit_conversion(spark, d):
     return series(spark, d).select("event_id", converted.alias("converted"), S.packed(v, 0.05, 0.0).alias("stored"))
 
 
-SIM = "pairs AS (SELECT o_custkey % 25 AS basin, o_totalprice AS s, o_totalprice * (1 + (o_orderkey % 7 - 3) / 100.0) AS o FROM orders)"
+SIM = "raw AS (SELECT o_custkey % 25 AS basin, CASE WHEN o_orderkey % 11 = 0 THEN 'nan'::DOUBLE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_totalprice END AS s, o_totalprice * (1 + (o_orderkey % 7 - 3) / 100.0::DOUBLE) + CASE WHEN o_orderkey % 7 = 3 THEN 0.004 ELSE 0 END AS o FROM orders), pairs AS (SELECT *, CASE WHEN abs(s - o) <= 0.01 THEN 0 ELSE s - o END AS d, greatest(s, o) >= 200000 AS loud FROM raw WHERE s IS NOT NULL AND NOT isnan(s))"
 
 
-@query(f"WITH {SIM} SELECT basin, count(*) AS n, round(sqrt(avg((s - o) * (s - o))), 4) AS rmse, round(100 * sum(s - o) / sum(o), 6) AS pbias, round(covar_pop(s, o) / nullif(stddev_pop(s) * stddev_pop(o), 0), 8) AS corr, round(stddev_pop(s) / nullif(stddev_pop(o), 0), 8) AS std_ratio FROM pairs GROUP BY basin")
+@query(f"WITH {SIM} SELECT basin, count(*) AS n, count(*) FILTER (loud) AS n_pbias, round(sqrt(avg(d * d)), 4) AS rmse, CASE WHEN count(*) FILTER (loud) = 0 THEN 0.0 ELSE round(100 * sum(d) FILTER (loud) / sum(o) FILTER (loud), 6) END AS pbias, round(avg(s), 4) AS mean_simulated, round(avg(o), 4) AS mean_observed, round(covar_pop(s, o) / nullif(stddev_pop(s) * stddev_pop(o), 0), 8) AS corr, round(stddev_pop(s) / nullif(stddev_pop(o), 0), 8) AS std_ratio FROM pairs GROUP BY basin")
 def skill_metrics(spark, d):
-    pairs = table(spark, d, "orders").select((F.col("o_custkey") % 25).alias("basin"), F.col("o_totalprice").alias("s"), (F.col("o_totalprice") * (1 + (F.col("o_orderkey") % 7 - 3) / 100.0)).alias("o"))
-    out = T.skill(pairs, ["basin"], "s", "o")
-    return out.select("basin", "n", F.round("rmse", 4).alias("rmse"), F.round("pbias", 6).alias("pbias"), F.round("corr", 8).alias("corr"), F.round("std_ratio", 8).alias("std_ratio"))
+    k, price = F.col("o_orderkey"), F.col("o_totalprice")
+    simulated = F.when(k % 11 == 0, F.lit(float("nan"))).when(k % 13 != 0, price)
+    observed = price * (1 + (k % 7 - 3) / 100.0) + F.when(k % 7 == 3, 0.004).otherwise(0.0)
+    out = T.skill(table(spark, d, "orders").select((F.col("o_custkey") % 25).alias("basin"), simulated.alias("s"), observed.alias("o")), ["basin"], "s", "o", signal=200000.0)
+    return out.select("basin", "n", "n_pbias", F.round("mean_simulated", 4).alias("mean_simulated"), F.round("mean_observed", 4).alias("mean_observed"), F.round("rmse", 4).alias("rmse"), F.round("pbias", 6).alias("pbias"), F.round("corr", 8).alias("corr"), F.round("std_ratio", 8).alias("std_ratio"))
 
 
-@query("SELECT l_returnflag AS variable, count(DISTINCT l_suppkey) AS n_basins, median(l_quantity) AS median_value, min(l_quantity) AS min_value, max(l_quantity) AS max_value, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_value FROM lineitem GROUP BY l_returnflag")
+@query("SELECT l_returnflag AS variable, count(DISTINCT l_suppkey) AS n_basins, median(l_quantity) AS median_value, min(l_quantity) AS min_value, max(l_quantity) AS max_value, round(avg(l_quantity), 6) AS mean_value FROM lineitem GROUP BY l_returnflag")
 def skill_summary(spark, d):
     q = F.col("l_quantity")
     return table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("variable")).agg(
-        F.countDistinct("l_suppkey").alias("n_basins"), F.median(q).alias("median_value"), F.min(q).alias("min_value"), F.max(q).alias("max_value"), (T.exact_sum(q) / F.count("*")).alias("mean_value")
+        F.countDistinct("l_suppkey").alias("n_basins"), F.median(q).alias("median_value"), F.min(q).alias("min_value"), F.max(q).alias("max_value"), F.round(F.avg(q), 6).alias("mean_value")
     )
 
 
@@ -306,31 +311,54 @@ def token_counts(spark, d):
     return table(spark, d, "part").select(F.explode(items).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
 
 
-@query("SELECT p_partkey, array_to_string(list_distinct_ordered, ', ') AS names FROM (SELECT p_partkey, [CASE WHEN regexp_matches(p_brand, '^Brand#1') THEN p_brand ELSE 'Other' END] AS list_distinct_ordered FROM part)")
+TOKENS = ["Sentinel-1", "VIIRS_NOAA", "noaa/viirs", "NOO-VIIRS", " COSMO-SkyMed Second Generation", "35", " Multi-Sensors ", "multi sensor", "", "Landsat 8"]
+
+
+@query(
+    f"""WITH t AS (SELECT p_partkey, array_to_string(list_transform(range(0, 5), lambda i: {TOKENS!r}[1 + (p_partkey * (i + 1) + i * i) % 10]), ',') AS names FROM part),
+    u AS (SELECT p_partkey, replace(regexp_replace(names, 'VIIRS-NOAA|VIIRS_NOAA|NOO-VIIRS|NOAA/VIIRS|NOAA_VIIRS', 'NOAA-VIIRS', 'gi'), 'COSMO-SkyMed Second Generation', 'COSMO-SkyMed SG') AS names FROM t),
+    x AS (SELECT p_partkey, unnest(string_split(names, ',')) AS token, generate_subscripts(string_split(names, ','), 1) AS i FROM u),
+    y AS (SELECT p_partkey, i, regexp_replace(trim(token), '^(35|42|44|58|multi[ _-]*sensors?)$', 'Other', 'i') AS token FROM x WHERE trim(token) <> ''),
+    z AS (SELECT p_partkey, token, min(i) AS i FROM y GROUP BY p_partkey, token)
+    SELECT p_partkey, coalesce(string_agg(token, ', ' ORDER BY i), '') AS names FROM (SELECT p_partkey FROM part) p LEFT JOIN z USING (p_partkey) GROUP BY p_partkey"""
+)
 def satellite_normalise(spark, d):
-    return table(spark, d, "part").select("p_partkey", F.array_join(S.ordered_unique(F.concat_ws(",", "p_brand", "p_brand"), "^Brand#1"), ", ").alias("names"))
+    known = F.array(*map(F.lit, TOKENS))
+    names = F.concat_ws(",", *[F.element_at(known, (1 + (F.col("p_partkey") * (i + 1) + i * i) % 10).cast("int")) for i in range(5)])
+    return table(spark, d, "part", "p_partkey").select("p_partkey", S.satellites(names).alias("names"))
 
 
-@query("SELECT s_suppkey, coalesce(nullif(regexp_extract(s_name, '#0*([1-9][0-9]*5)$', 1), ''), s_name) AS event_id, split_part(s_name, '#', 1) AS prefix FROM supplier")
+@query(
+    """WITH t AS (SELECT l_orderkey, l_linenumber, l_returnflag, CASE l_returnflag WHEN 'R' THEN 'DFO_' || l_partkey || CASE WHEN l_linenumber = 1 THEN '_Form_x' ELSE '_From_2001' END
+    WHEN 'A' THEN l_partkey || CASE WHEN l_linenumber = 1 THEN 'x' ELSE '_map' END ELSE 'EMSR' || l_partkey || '_AOI' || l_linenumber || '_floodmap' END AS stem FROM lineitem)
+    SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'R' THEN coalesce(nullif(regexp_extract(stem, '^(DFO_[0-9]+)_From', 1), ''), stem) WHEN 'A' THEN coalesce('UNOSAT_' || nullif(regexp_extract(stem, '^([0-9]+)_', 1), ''), stem)
+    ELSE coalesce('EMSR_' || nullif(regexp_extract(stem, '^EMSR([0-9]+)_', 1), ''), stem) END AS event_id, split_part(stem, '_', 1) AS prefix, regexp_replace(stem, '_floodmap$', '') AS stem FROM t"""
+)
 def event_id_extract(spark, d):
-    return table(spark, d, "supplier").select("s_suppkey", S.event_id(F.col("s_name"), ("#0*([1-9][0-9]*5)$",)).alias("event_id"), F.split_part("s_name", F.lit("#"), F.lit(1)).alias("prefix"))
+    c, one = F.col, F.col("l_linenumber") == 1
+    key = c("l_partkey").cast("string")
+    stem = F.when(c("l_returnflag") == "R", F.concat(F.lit("DFO_"), key, F.when(one, "_Form_x").otherwise("_From_2001"))).when(c("l_returnflag") == "A", F.concat(key, F.when(one, "x").otherwise("_map")))
+    stem = stem.otherwise(F.concat(F.lit("EMSR"), key, F.lit("_AOI"), c("l_linenumber").cast("string"), F.lit("_floodmap")))
+    archive = F.when(c("l_returnflag") == "R", "GFD").when(c("l_returnflag") == "A", "Unosat").otherwise("WorldFloods")
+    return table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_partkey").select("l_orderkey", "l_linenumber", S.event_id(stem, archive).alias("event_id"), F.split_part(stem, F.lit("_"), F.lit(1)).alias("prefix"), S.without_suffix(stem, "_floodmap").alias("stem"))
 
 
-@query("SELECT c_custkey, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(c_mktsegment || ' ' || c_name || ' ', '[^A-Za-z0-9_ -]', '', 'g'), '[ ]+', '_', 'g'), '^_+|_+$', '', 'g'), ''), 'unnamed') AS safe_name FROM customer")
+@query("""SELECT c_custkey, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(CASE WHEN c_custkey % 10 = 0 THEN ' (!) ' ELSE c_mktsegment || ' é' || chr(9) || c_name || ' ' END, '[^\\p{L}\\p{N}_\\s-]', '', 'g'), '\\s+', '_', 'g'), '^_+|_+$', '', 'g'), ''), 'unknown') AS safe_name FROM customer""")
 def name_sanitise(spark, d):
-    return table(spark, d, "customer").select("c_custkey", S.safe_name(F.concat("c_mktsegment", F.lit(" "), "c_name", F.lit(" "))).alias("safe_name"))
+    name = F.when(F.col("c_custkey") % 10 == 0, " (!) ").otherwise(F.concat("c_mktsegment", F.lit(" é\t"), "c_name", F.lit(" ")))
+    return table(spark, d, "customer").select("c_custkey", S.safe_name(name).alias("safe_name"))
 
 
-@query("SELECT l_returnflag AS basin, CAST(sum(CASE WHEN l_linenumber <> 7 THEN CAST(l_quantity AS DECIMAL(18,2)) * CAST(l_extendedprice AS DECIMAL(18,2)) END) AS DOUBLE) / CAST(sum(CASE WHEN l_linenumber <> 7 THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) AS DOUBLE) AS weighted_mean FROM lineitem GROUP BY l_returnflag")
+@query("SELECT l_suppkey AS basin, round(sum(l_quantity * l_extendedprice * 0.0001::DOUBLE) / sum(l_extendedprice * 0.0001::DOUBLE), 6) AS weighted_mean FROM lineitem WHERE l_linenumber <> 7 AND l_tax >= 0.03 GROUP BY l_suppkey")
 def weighted_mean_sentinel(spark, d):
-    rows = table(spark, d, "lineitem").withColumn("v", F.when(F.col("l_linenumber") == 7, -999.0).otherwise(F.col("l_quantity")))
-    return T.weighted_mean(rows.withColumnRenamed("l_returnflag", "basin"), ["basin"], "v", "l_extendedprice")
+    rows = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("basin"), F.when(F.col("l_linenumber") == 7, -999.0).otherwise(F.col("l_quantity")).alias("v"), (F.col("l_extendedprice") * 0.0001).alias("w"), "l_tax")
+    return T.weighted_mean(rows, ["basin"], "v", "w", "l_tax", 0.03).where("weighted_mean IS NOT NULL").select("basin", F.round("weighted_mean", 6).alias("weighted_mean"))
 
 
-@query("WITH s AS (SELECT o_custkey % 50 AS basin, o_orderpriority AS kind, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS weight FROM orders GROUP BY ALL) SELECT basin, kind, weight FROM s QUALIFY row_number() OVER (PARTITION BY basin ORDER BY weight DESC, kind) = 1")
+@query("WITH s AS (SELECT o_custkey % 50 AS basin, CASE WHEN o_orderkey % 3 = 0 THEN 13 ELSE o_custkey % 7 END AS kind, round(sum(o_totalprice), 4) AS weight FROM orders GROUP BY ALL) SELECT basin, kind, weight FROM s QUALIFY row_number() OVER (PARTITION BY basin ORDER BY weight DESC, kind) = 1")
 def majority_class(spark, d):
-    rows = table(spark, d, "orders").select((F.col("o_custkey") % 50).alias("basin"), F.col("o_orderpriority").alias("kind"), "o_totalprice")
-    return T.majority_class(rows, ["basin"], "kind", "o_totalprice")
+    rows = table(spark, d, "orders").select((F.col("o_custkey") % 50).alias("basin"), F.when(F.col("o_orderkey") % 3 == 0, -999).otherwise(F.col("o_custkey") % 7).alias("kind"), "o_totalprice")
+    return T.majority_class(rows, ["basin"], "kind", "o_totalprice", -999, 13).withColumn("weight", F.round("weight", 4))
 
 
 @query("SELECT p_partkey, CAST(p_retailprice > 950 AS INTEGER) + CAST(p_retailprice > 1100 AS INTEGER) + CAST(p_retailprice > 1500 AS INTEGER) + CAST(p_retailprice > 1800 AS INTEGER) AS band FROM part")
@@ -338,14 +366,18 @@ def area_bands(spark, d):
     return table(spark, d, "part").select("p_partkey", S.band(F.col("p_retailprice"), (950, 1100, 1500, 1800)).alias("band"))
 
 
-@query("SELECT user_id AS basin, CAST(greatest(min(ts) FILTER (event_type = 'view'), min(ts) FILTER (event_type = 'click')) AS VARCHAR) IS NOT NULL AS overlaps, count(*) FILTER (event_type = 'view') AS n_view, count(*) FILTER (event_type = 'click') AS n_click FROM events GROUP BY user_id")
+@query(
+    """WITH e AS (SELECT user_id AS basin, event_type, CAST(ts AS DATE) AS day FROM events), a AS (SELECT basin, min(day) AS a0, max(day) AS b0 FROM e WHERE event_type = 'view' GROUP BY basin),
+    b AS (SELECT basin, min(day) AS a1, max(day) AS b1 FROM e WHERE event_type = 'click' GROUP BY basin)
+    SELECT basin, CASE WHEN greatest(a0, a1) <= least(b0, b1) THEN CAST(greatest(a0, a1) AS VARCHAR) END AS first_day, CASE WHEN greatest(a0, a1) <= least(b0, b1) THEN CAST(least(b0, b1) AS VARCHAR) END AS last_day FROM a JOIN b USING (basin)"""
+)
 def overlap_range(spark, d):
-    t = F.col("event_type")
-    first = F.greatest(F.min(F.when(t == "view", F.col("ts"))), F.min(F.when(t == "click", F.col("ts"))))
-    return series(spark, d).groupBy("basin").agg(first.isNotNull().alias("overlaps"), F.count_if(t == "view").alias("n_view"), F.count_if(t == "click").alias("n_click"))
+    days = series(spark, d).withColumn("day", F.to_date("ts"))
+    out = T.overlap_range(days.where("event_type = 'view'"), days.where("event_type = 'click'"), ["basin"])
+    return out.select("basin", F.col("first_day").cast("string").alias("first_day"), F.col("last_day").cast("string").alias("last_day"))
 
 
-@query("SELECT 'doc_id' AS column_name, count(*) FILTER (doc_id IS NULL) AS n_null, count(*) AS n FROM labels UNION ALL SELECT 'quality', count(*) FILTER (quality IS NULL), count(*) FROM labels UNION ALL SELECT 'toxic', count(*) FILTER (toxic IS NULL), count(*) FROM labels")
+@query("SELECT 'doc_id' AS column_name, count(*) FILTER (doc_id IS NULL) AS n_null, count(*) AS n, count(*) FILTER (doc_id IS NULL) / count(*) AS null_rate FROM labels UNION ALL SELECT 'quality', count(*) FILTER (quality IS NULL), count(*), count(*) FILTER (quality IS NULL) / count(*) FROM labels UNION ALL SELECT 'toxic', count(*) FILTER (toxic IS NULL), count(*), count(*) FILTER (toxic IS NULL) / count(*) FROM labels")
 def null_rates(spark, d):
     return R.null_rates(table(spark, d, "labels"), ["doc_id", "quality", "toxic"])
 
@@ -369,11 +401,12 @@ def json_metadata(spark, d):
     return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.page").alias("page"), F.get_json_object("props", "$.k").alias("k"))
 
 
-@query("SELECT count(*) AS n_tiles, CAST(sum(maxx - minx) AS BIGINT) AS width, CAST(min(miny) AS INTEGER) AS south FROM (SELECT x AS minx, y AS miny, least(x + 2, 180) AS maxx FROM range(-180, 180, 2) a(x), range(-90, 90, 2) b(y))")
+@query("SELECT x AS minx, y AS miny, least(x + 7, 180) AS maxx, least(y + 7, 90) AS maxy, printf('hand_lon%+04d_lat%+03d_lon%+04d_lat%+03d.tif', x, y, least(x + 7, 180), least(y + 7, 90)) AS name FROM (SELECT x::INT AS x, y::INT AS y FROM range(-180, 180, 7) a(x), range(-90, 90, 7) b(y))")
 def world_tiles(spark, d):
     from alluvia.sources.staging import world_tiles as tiles
 
-    return tiles(spark).agg(F.count("*").alias("n_tiles"), F.sum(F.col("maxx") - F.col("minx")).alias("width"), F.min("miny").alias("south"))
+    c = F.col
+    return tiles(spark, 7).withColumn("name", S.tile_name(c("minx"), c("miny"), c("maxx"), c("maxy")))
 
 
 @query("WITH m AS (SELECT user_id AS basin, avg(value) FILTER (event_type = 'view') AS a, avg(value) FILTER (event_type = 'click') AS b FROM events GROUP BY user_id) SELECT basin, round((coalesce(a, 0) + coalesce(b, 0)) / nullif((a IS NOT NULL)::INT + (b IS NOT NULL)::INT, 0), 6) AS layer_mean FROM m")
@@ -383,10 +416,10 @@ def row_mean_layers(spark, d):
     return m.select("basin", F.round(S.row_mean(F.col("a"), F.col("b")), 6).alias("layer_mean"))
 
 
-@query(f"WITH {DAYS} SELECT basin, CAST(day AS VARCHAR) AS day, CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY basin ORDER BY day ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS cumulative FROM days")
+@query(f"WITH {DAYS} SELECT basin, CAST(day AS VARCHAR) AS day, round(sum(value) OVER (PARTITION BY basin ORDER BY day ROWS UNBOUNDED PRECEDING), 6) AS cumulative FROM days")
 def cumulative_series(spark, d):
     w = Window.partitionBy("basin").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    return _days(spark, d).select("basin", F.col("day").cast("string").alias("day"), F.sum(F.col("value").cast("decimal(18,2)")).over(w).cast("double").alias("cumulative"))
+    return _days(spark, d).select("basin", F.col("day").cast("string").alias("day"), F.round(F.sum("value").over(w), 6).alias("cumulative"))
 
 
 OUTLETS = """b AS (SELECT s_suppkey AS id, s_suppkey * 37 % 101 AS x0, s_suppkey * 53 % 89 AS y0, s_suppkey * 37 % 101 + 3 + s_suppkey % 11 AS x1, s_suppkey * 53 % 89 + 3 + s_suppkey % 7 AS y1 FROM supplier),
