@@ -157,14 +157,24 @@ def encoded_rasters(cells: DataFrame, value: str, step: float) -> DataFrame:
     return cells.groupBy("file").applyInPandas(run, "file string, content binary")
 
 
+def _json_file(spark: SparkSession, name: str) -> dict | None:
+    """A small JSON file, which Spark's readers would pass over as its name begins with a point; None if it isn't there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return None
+    stream = files.open(path)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
 def read_zarr(spark: SparkSession, path: str, variable: str, dims: tuple[str, ...]) -> DataFrame:
     """One row per cell of a variable: its place along each dimension, and value, unpacked by scale, offset and fill value. Only chunks that are there are read."""
-    text = lambda name: {r[0].rsplit("/", 1)[1]: json.loads(r[1]) for r in spark.read.text(f"{path}/{variable}/{name}", wholetext=True).select("_metadata.file_path", "value").collect()}
-    meta = text(".zarray")[".zarray"]
-    try:
-        attributes = text(".zattrs").get(".zattrs", {})
-    except Exception:  # the file may be missing: Spark's error has no type of its own
-        attributes = {}
+    meta, attributes = _json_file(spark, f"{path}/{variable}/.zarray"), _json_file(spark, f"{path}/{variable}/.zattrs") or {}
+    if meta is None:
+        raise ValueError(f"no Zarr array {variable} in {path}")
     packer = (meta.get("compressor") or {}).get("id")
     if packer not in (None, "zlib", "gzip", "zstd") or meta.get("filters") or meta["zarr_format"] != 2:
         raise ValueError(f"chunks packed with {packer} aren't read")

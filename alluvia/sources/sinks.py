@@ -101,5 +101,5 @@ def load_months(df: DataFrame, path: str, manifest: str, day: str = "date") -> l
 
 def export_chunks(df: DataFrame, key: str, path: str, size: int = 5000) -> None:
     """Folders of so many rows each, in key order."""
-    numbered = dense_ids(df, key, "__n").withColumn("chunk", F.floor((F.col("__n") - 1) / size)).drop("__n")
+    numbered = dense_ids(df, key, "__row").withColumn("chunk", F.floor((F.col("__row") - 1) / size)).drop("__row")
     numbered.write.mode("overwrite").partitionBy("chunk").parquet(path)

@@ -1,7 +1,7 @@
 import duckdb
 import pytest
 
-from alluvia.plans.registry import ORACLES, QUERIES
+from alluvia.plans.catalogue import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events labels".split()
