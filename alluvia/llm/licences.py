@@ -146,8 +146,11 @@ def canonical_lines(text: Column) -> Column:
 
 
 def digest(canonical: Column) -> Column:
-    """SHA-256 in hexadecimal of a canonical text with its white space made plain; null if nothing is left."""
+    """SHA-256 in hexadecimal of a canonical text with its white space made plain, and the spellings of several words that stood on two lines; null if nothing is left."""
     plain = F.trim(F.regexp_replace(canonical, r"[ \n]+", " "))
+    for other, one in SPELLINGS:
+        if " " in other:
+            plain = F.replace(plain, F.lit(other), F.lit(one))
     return F.when(plain != "", F.sha2(plain, 256))
 
 
@@ -193,7 +196,11 @@ def oracle(table: str = "documents", known=KNOWN, whole=KNOWN_WHOLE) -> str:
         return out
 
     def hashed(x: str) -> str:
-        return f"sha256(nullif(trim(regexp_replace({x}, '[ \\n]+', ' ', 'g')), ''))"
+        out = f"trim(regexp_replace({x}, '[ \\n]+', ' ', 'g'))"
+        for other, one in SPELLINGS:
+            if " " in other:
+                out = f"replace({out}, {quoted(other)}, {quoted(one)})"
+        return f"sha256(nullif({out}, ''))"
 
     values = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in known)
     digests = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in whole)
