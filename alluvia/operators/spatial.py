@@ -64,15 +64,15 @@ def polygon_join(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
 
 
 def overlap_pairs(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
-    """Pairs of intersecting geometries with their shared area; a pair of ids once, pairs that only touch are left out."""
-    pairs = polygon_join(left, right, size).withColumn("shared", G.st_intersection_area(F.col("a_shape"), F.col("b_shape")))
-    return pairs.where("shared > 0").dropDuplicates(["a_id", "b_id"])
+    """Pairs of intersecting geometries with their areas and the one they share; pairs that only touch are left out. Ids are unique on each side."""
+    sides = (with_bounds(df, p, f"{p}_shape").withColumn(f"{p}_area", G.st_area(F.col(f"{p}_shape"))) for df, p in ((left, "a"), (right, "b")))
+    pairs = box_join(*sides, size).withColumn("shared", G.st_intersection_area(F.col("a_shape"), F.col("b_shape")))
+    return pairs.where("shared > 0")
 
 
 def polygon_iou(pairs: DataFrame) -> DataFrame:
     """Pairs with iou by inclusion and exclusion of the areas."""
-    a, b = G.st_area(F.col("a_shape")), G.st_area(F.col("b_shape"))
-    return pairs.withColumn("__a", a).withColumn("__b", b).withColumn("iou", F.try_divide("shared", F.col("__a") + F.col("__b") - F.col("shared"))).drop("__a", "__b")
+    return pairs.withColumn("iou", F.try_divide("shared", F.col("a_area") + F.col("b_area") - F.col("shared")))
 
 
 def dissolved(df: DataFrame, keys: list[str], shape: str, batch: int = 64) -> DataFrame:
