@@ -107,17 +107,19 @@ def secret_scan(df: DataFrame, text: str = "text", doc_id: str = "doc_id", repos
     most_owners: a value of more owners than this is a copied example.
     """
     scanned = materialise(scan_texts(df, text, doc_id, repository, least_bits), "secrets")
-    live = ownership(scanned).select("digest", (F.col("n_owners") <= most_owners).alias("live"))
-    finds = scanned.select("row", F.explode("finds").alias("find")).select("row", "find.*").join(live, "digest")
-    kept = finds.where((F.col("kind") < 3) | F.col("live"))
-    spans = kept.groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("start", "kind", "stop"))).alias("all"),
-        F.count_if(F.col("live")).alias("n_live"),
-        F.count_if(~F.col("live")).alias("n_copied"),
+    own = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256"]
+    some = scanned.where(F.size("finds") > 0)
+    live = materialise(ownership(some).select("digest", (F.col("n_owners") <= most_owners).alias("live")), "owners")  # written, so that the join can split a value that many rows hold
+    finds = some.select("row", *own, F.explode("finds").alias("find")).select("row", *own, "find.*").join(live, "digest")
+    kept = (F.col("kind") < 3) | F.col("live")
+    spans = finds.groupBy("row").agg(
+        *[F.any_value(c).alias(c) for c in own],
+        F.sort_array(F.collect_list(F.when(kept, F.struct("start", "kind", "stop")))).alias("all"),
+        F.count_if(kept & F.col("live")).alias("n_live"),
+        F.count_if(kept & ~F.col("live")).alias("n_copied"),
     )
     kinds = F.array(*map(F.lit, KINDS))
     joined = F.array_join(F.transform("all", lambda x: F.concat_ws(":", F.element_at(kinds, x["kind"] + 1), x["start"].cast("string"), x["stop"].cast("string"))), ",")
-    return scanned.drop("finds").join(spans, "row", "left").select(
-        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce(joined, F.lit("")).alias("spans"),
-        F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_copied", F.lit(0)).alias("n_copied"),
-    )
+    found = spans.select(*own, joined.alias("spans"), "n_live", "n_copied")
+    none = scanned.where(F.size("finds") == 0)  # most rows: they are not shuffled
+    return found.unionByName(none.select(*own, F.lit("").alias("spans"), F.lit(0).cast("long").alias("n_live"), F.lit(0).cast("long").alias("n_copied")))
