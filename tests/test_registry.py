@@ -4,7 +4,7 @@ import pytest
 from alluvia.plans.catalogue import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events labels".split()
+TABLES = "region nation customer supplier part orders lineitem events documents labels".split()
 
 
 def plain(rows, names):
