@@ -100,3 +100,35 @@ def test_links_of_large_buckets_against_all_pairs(spark, monkeypatch, small, blo
     got = {r["doc_id"]: r for r in near_duplicates(df).collect()}
     assert [got[i]["n_links"] for i in range(len(texts))] == [sum(x) for x in linked]
     assert [got[i]["class_id"] for i in range(len(texts))] == root
+
+
+def test_near_copies_without_a_centre_against_all_pairs(spark):
+    """250 copies of one text, each with two or three own words, so that most pairs lie near the threshold and none links to all."""
+    random.seed(12)
+    base = [f"v{random.randrange(3000)}" for _ in range(240)]
+    texts = []
+    for i in range(250):
+        copy = list(base)
+        for k in random.sample(range(240), random.choice((2, 3))):
+            copy[k] = f"own{i}x{k}"
+        texts.append(" ".join(copy))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = list(shingle_rows(pa.array(texts), learn_weights(df.select("text"))))
+    linked = [[x != y and weighted_jaccard(rows[min(x, y)], rows[max(x, y)]) >= 0.8 for y in range(250)] for x in range(250)]
+    root = list(range(250))
+    for _ in range(20):
+        root = [min([root[x], *(root[y] for y in range(250) if linked[x][y])]) for x in range(250)]
+    got = {r["doc_id"]: r for r in near_duplicates(df).collect()}
+    links = sum(map(sum, linked))
+    assert links > 4000
+    assert links >= sum(r["n_links"] for r in got.values()) >= 0.99 * links
+    assert sum(got[i]["class_id"] == root[i] for i in range(250)) >= 248
+
+
+def test_long_texts_and_clashing_columns(spark):
+    long_ = " ".join(f"word{i}" for i in range(60_000))
+    rows = [(1, long_, 5, [1]), (2, long_ + " more", 6, None), (3, "short text of seven words in all", 7, [2])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row int, bands array<int>").selectExpr("*", "doc_id AS class_row", "'x' AS digest", "1 AS n_links")
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in near_duplicates(df).collect()} == {1: (1, 1), 2: (1, 1), 3: (3, 0)}
+    kept = near_duplicates_module.one_of_each_class(df)
+    assert kept.columns == df.columns and kept.count() == 2
