@@ -217,8 +217,21 @@ def non_dominated(boxes: DataFrame, size: int, most: float = 0.5) -> DataFrame:
     a, b = (boxes.select(*[F.col(c).alias(f"{p}_{c}") for c in ("id", "x0", "y0", "x1", "y1")]) for p in "ab")
     larger = (box_area("a") > box_area("b")) | ((box_area("a") == box_area("b")) & (F.col("a_id") < F.col("b_id")))
     covers = box_join(a, b, size).where(larger & (overlap_area() > box_area("b") * most)).select(F.col("a_id").alias("over"), F.col("b_id").alias("id"))
+    return _undominated(boxes.select("id"), covers)
+
+
+def non_dominated_shapes(df: DataFrame, size: float, most: float = 0.5) -> DataFrame:
+    """Ids of geometries (id, shape) by the same rule as non_dominated(); shapes without area are kept."""
+    a, b = (df.select(F.col("id").alias(f"{p}_id"), F.col("shape").alias(f"{p}_shape")) for p in "ab")
+    larger = (F.col("a_area") > F.col("b_area")) | ((F.col("a_area") == F.col("b_area")) & (F.col("a_id") < F.col("b_id")))
+    covers = overlap_pairs(a, b, size).where(larger & (F.col("shared") > F.col("b_area") * most)).select(F.col("a_id").alias("over"), F.col("b_id").alias("id"))
+    return _undominated(df.select("id"), covers)
+
+
+def _undominated(ids: DataFrame, covers: DataFrame) -> DataFrame:
+    """The ids that no kept one covers (over, id), decided from those that nothing covers on."""
     covers = staged(covers, "covers")
-    open_, kept = staged(boxes.select("id"), "open"), None
+    open_, kept = staged(ids, "open"), None
     while not open_.isEmpty():
         now = staged(open_.join(covers, "id", "left_anti"), "kept")
         kept = now if kept is None else kept.unionByName(now)

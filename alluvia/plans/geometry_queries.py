@@ -12,7 +12,7 @@ from alluvia.functions.scalars import half_even
 from alluvia.operators import relational as R
 from alluvia.operators import spatial as S
 from alluvia.operators.linking import link_floods
-from alluvia.plans.registry import BOXES, PAIRS, ZONES, boxes, query, zones
+from alluvia.plans.registry import BOXES, ORACLES, PAIRS, ZONES, boxes, query, zones
 from alluvia.sources.staging import table
 
 SHEAR = "0.875::DOUBLE"
@@ -65,6 +65,14 @@ def polygon_set_operations(spark, d):
     return held.select("a_id", "b_id", "union_area", "difference_area", half_even(F.col("i") * 100 / F.col("w")).alias("percentage"), (F.col("i") / F.col("w") >= 0.95).alias("covered"))
 
 
+@query(ORACLES["non_overlapping_outlets"])
+def non_overlapping_shapes(spark, d):
+    """The outlets of the registry's query as polygons: a linear map leaves all shares as they are."""
+    k = F.col("s_suppkey")
+    x, y = k * 37 % 101, k * 53 % 89
+    return S.non_dominated_shapes(table(spark, d, "supplier", "s_suppkey").select(k.alias("id"), _ring(x, y, x + 3 + k % 11, y + 3 + k % 7).alias("shape")), 12)
+
+
 @query(f"WITH {BOXES}, cells AS (SELECT DISTINCT brand, cx, cy FROM boxes, range(0, 60) a(cx), range(0, 50) b(cy) WHERE cx >= x0 AND cx < x1 AND cy >= y0 AND cy < y1 AND brand LIKE 'Brand#1%') SELECT brand, round(count(*) * {SHEAR}, 6) AS area FROM cells GROUP BY brand")
 def dissolved_brands(spark, d):
     united = S.dissolved(shapes(spark, d, "a", "a_brand LIKE 'Brand#1%'").withColumnRenamed("a_brand", "brand"), ["brand"], "a_shape", 16)
@@ -167,6 +175,15 @@ def cleaned_flood(spark, d):
     return S.cleaned_flood(raster(spark, d))
 
 
+@query(f"WITH {RASTER}, hand AS (SELECT l_suppkey % 4 AS file, l_partkey % 60 AS x, l_orderkey % 60 AS y, avg(l_tax) AS hand FROM lineitem WHERE l_linenumber < 4 GROUP BY ALL) SELECT r.file, r.x, r.y, CASE WHEN flooded = 1 AND NOT coalesce(hand <= 0.04, FALSE) THEN 0.0 ELSE flooded END::DOUBLE AS flooded FROM raster r LEFT JOIN hand USING (file, x, y)")
+def rasters_aligned(spark, d):
+    """Two rasters joined cell by cell; a cell that the second one lacks has no height."""
+    c = F.col
+    hand = table(spark, d, "lineitem").where("l_linenumber < 4").groupBy((c("l_suppkey") % 4).alias("file"), (c("l_partkey") % 60).alias("x"), (c("l_orderkey") % 60).alias("y")).agg(F.avg("l_tax").alias("hand"))
+    both = raster(spark, d).join(hand, ["file", "x", "y"], "left")
+    return both.select("file", "x", "y", S.low_enough(c("flooded"), c("hand"), 0.04).alias("flooded"))
+
+
 @query(f"WITH {CLEAN} SELECT file, x // 16 AS tile_x, y // 16 AS tile_y, count(*)::DOUBLE AS area FROM clean WHERE flooded = 1 GROUP BY ALL")
 def flood_outlines(spark, d):
     wet = S.cleaned_flood(raster(spark, d)).where("flooded = 1")

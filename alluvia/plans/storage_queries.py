@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from alluvia.functions import geometry as G
 from alluvia.operators import spatial as S
-from alluvia.plans.registry import FLOOD, flood, query
+from alluvia.plans.registry import BOXES, FLOOD, boxes, flood, query
 from alluvia.sources import raster, sinks, vector
 from alluvia.sources.staging import csv_union, json_documents, shared_path, table
 
@@ -119,6 +119,16 @@ def geopackage(rows, kind: str = "MULTIPOLYGON") -> bytes:
     return base.serialize()
 
 
+@query(f"WITH {BOXES} SELECT id, x0::DOUBLE AS minx, y0::DOUBLE AS miny FROM boxes WHERE x0 <= 20 AND x1 >= 10 AND y0 <= 9 AND y1 >= 3")
+def shapes_in_extent(spark, d):
+    """Shapes stored with their bounds; an extent's comparisons reach the scan, which reads no shape."""
+    path = shared_path(spark, "shapes")
+    b = boxes(spark, d, "a")
+    corners = [F.col(f"a_{k}").cast("double") for k in ("x0", "y0", "x1", "y1")]
+    b.select(F.col("a_id").alias("id"), *[c.alias(n) for c, n in zip(corners, ("minx", "miny", "maxx", "maxy"))], G.st_box(*corners).alias("shape")).sortWithinPartitions("minx").write.parquet(path)
+    return S.in_extent(spark.read.parquet(path), 10, 3, 20, 9).select("id", "minx", "miny")
+
+
 @query("SELECT s_suppkey AS id, s_name AS name, 'basins' AS layer, 1.0::DOUBLE + s_suppkey % 4 AS area FROM supplier WHERE s_suppkey <= 100")
 def geopackage_layer(spark, d):
     path = shared_path(spark, "gpkg")

@@ -71,7 +71,7 @@ def ship_package() -> None:
     import zipfile
     from pathlib import Path
 
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     context = spark.sparkContext
     if getattr(context, "_alluvia_sent", False):
         return

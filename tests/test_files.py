@@ -143,3 +143,12 @@ def test_appending_refuses_earlier_days(spark, tmp_path):
         sinks.append_days(rows.select(F.date_sub("date", 1).alias("date")), path)
     with pytest.raises(ValueError, match="no finite value"):
         sinks.write_finite(spark.createDataFrame([(float("nan"),)], "v double"), str(tmp_path / "v"), ["v"])
+
+
+def test_extent_reaches_the_scan(spark, capsys):
+    from alluvia.plans.storage_queries import shapes_in_extent
+
+    found = shapes_in_extent(spark, "/root/testdata/sf0.001")
+    found.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PushedFilters" in plan and "LessThanOrEqual(minx,20.0)" in plan and "shape" not in plan.split("ReadSchema")[1].split("\n")[0]
