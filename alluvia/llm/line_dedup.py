@@ -36,6 +36,7 @@ from alluvia.llm.storage import TEXT_ROWS, discard, materialise, with_row_number
 EDITS = 2
 POINTS_PER_EDIT = 12
 CROWDED = 8
+PORTION = 8192
 _BLANK = np.zeros(0x110000, bool)
 _BLANK[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]] = True
 _LINES = pa.list_(pa.struct([("id", pa.int64()), ("line_no", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("index", pa.list_(pa.int64())), ("probes", pa.list_(pa.int64()))]))
@@ -147,8 +148,13 @@ def within_edits(a: list[str], b: list[str], edits: int = EDITS, most: np.ndarra
 
 
 def linked_lines(a: list[str], b: list[str]) -> np.ndarray:
-    """Whether the lines of each pair are within the edits that the shorter one allows."""
-    return within_edits(a, b, EDITS, allowed_edits([min(len(x), len(y)) for x, y in zip(a, b)]))
+    """Whether the lines of each pair are within the edits that the shorter one allows; portions of PORTION pairs bound the memory."""
+    most = allowed_edits([min(len(x), len(y)) for x, y in zip(a, b)])
+    out = np.zeros(len(a), bool)
+    for at in range(0, len(a), PORTION):
+        part = slice(at, at + PORTION)
+        out[part] = within_edits(a[part], b[part], EDITS, most[part])
+    return out
 
 
 def _banded(a: list[np.ndarray], b: list[np.ndarray], k: int) -> np.ndarray:
