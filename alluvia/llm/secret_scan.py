@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 from math import log2
 
 import pyarrow as pa
@@ -51,9 +53,12 @@ def base_finds(text: str) -> list[tuple[int, int, int, str]]:
 def token_finds(text: str, base: list[tuple[int, int, int, str]], least_bits: float) -> list[tuple[int, int, int, str]]:
     """Long tokens of letters and digits with enough entropy that touch no base find."""
     found = []
+    starts = [s for s, _, _, _ in base]
+    ends = list(accumulate((e for _, _, e, _ in base), max))  # the furthest end so far
     for m in TOKEN.finditer(text):
-        value = m[0]
-        if all(x.search(value) for x in MIXED) and bits_per_character(value) >= least_bits and not any(s < m.end() and m.start() < e for s, _, e, _ in base):
+        value, before = m[0], bisect_left(starts, m.end())
+        touches = before > 0 and ends[before - 1] > m.start()
+        if not touches and all(x.search(value) for x in MIXED) and bits_per_character(value) >= least_bits:
             found.append((m.start(), 3, m.end(), value))
     return found
 
