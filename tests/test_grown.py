@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from alluvia.functions import geometry as G
+from alluvia.operators import spatial as S
 from alluvia.operators.linking import link_floods, link_floods_by_basin
 from alluvia.plans.catalogue import ORACLES, QUERIES
 
@@ -51,3 +52,57 @@ def test_links_by_basin_are_those_of_united_catchments(spark):
     told = sorted(map(tuple, two.select(*keys).collect()))
     assert told == sorted(map(tuple, one.select(*keys).collect())) and [r[1] for r in told] == [2, 3]
     assert sorted(map(tuple, used.collect())) == sorted(map(tuple, also.collect()))
+
+
+@pytest.mark.parametrize("name", ["flood_clip_percentage", "iou_best_match", "spatial_join_boxes", "polygon_intersects", "polygon_best_match", "polygon_overlaps", "polygon_set_operations", "non_overlapping_shapes"])
+def test_boxes_that_repeat_give_all_their_rows(spark, grown, name):
+    same_as_sql(spark, grown, name)
+
+
+def squares(spark, prefix, n, low):
+    df = spark.range(n).select(F.col("id").alias(f"{prefix}_id"), *[F.lit(float(v)).alias(f"{prefix}_{k}") for k, v in (("x0", low), ("y0", low), ("x1", low + 2), ("y1", low + 2))])
+    return df.withColumn(f"{prefix}_shape", G.st_box(*[F.col(f"{prefix}_{k}") for k in ("x0", "y0", "x1", "y1")]))
+
+
+def test_boxes_in_one_place_are_measured_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def area(x):
+        seen.add(1)
+        return float(x)
+
+    a, b = squares(spark, "a", 700, 0).drop("a_shape"), squares(spark, "b", 30, 1).drop("b_shape")
+    measure = lambda p: p.withColumn("m", area.asNondeterministic()(S.overlap_area()))
+    got = S.staged(S.box_join(a, b, 5, measure=lambda p: S.staged(measure(p), "measured")).select("a_id", "b_id", "m"), "told")
+    assert got.distinct().count() == got.count() == 21_000 and got.where("m <> 1").isEmpty() and seen.value == 1
+
+
+def test_best_matches_of_equal_boxes_and_shapes_go_to_the_least_id(spark):
+    a, b = squares(spark, "a", 5, 0), squares(spark, "b", 7, 0).unionByName(squares(spark, "b", 3, 1).withColumn("b_id", F.col("b_id") - 9))
+    for found in (S.best_box_match(a, b, 3, 0.5), S.best_polygon_match(a.select("a_id", "a_shape"), b.select("b_id", "b_shape"), 3, 0.5)):
+        assert sorted(map(tuple, found.collect())) == [(k, 0, 1.0) for k in range(5)]
+
+
+def test_equal_shapes_are_compared_once(spark):
+    a, b = squares(spark, "a", 40, 0).select("a_id", "a_shape"), squares(spark, "b", 50, 1).select("b_id", "b_shape")
+    counts = []
+
+    def measure(p):
+        counts.append(p.count())
+        return p
+
+    pairs = S.overlap_pairs(a, b, 3, measure).select("a_id", "b_id", F.round("shared", 9).alias("shared"))
+    assert pairs.distinct().count() == pairs.count() == 2000 and pairs.where("shared <> 1").isEmpty() and counts == [1]
+    assert S.polygon_join(a, b.withColumn("b_id", F.lit(1)), 3).count() == 2000
+
+
+def test_shapes_decided_in_batches_are_those_decided_at_once(spark):
+    k = F.col("id")
+    x, y = k * 37 % 31, k * 53 % 29
+    some = spark.range(400).select("id", G.st_box(x, y, x + 3 + k % 5, y + 3 + k % 4).alias("shape"))
+    odd = spark.createDataFrame([(900, None), (901, bytes.fromhex("0101000000000000000000f03f000000000000f03f"))], "id long, shape binary")
+    df = some.unionByName(some.withColumn("id", F.col("id") + 1000)).unionByName(odd)
+    one, few = (sorted(r["id"] for r in S.non_dominated_shapes(df, 6, first=n).collect()) for n in (100_000, 20))
+    boxes = spark.range(400).select("id", x.alias("x0"), y.alias("y0"), (x + 3 + k % 5).alias("x1"), (y + 3 + k % 4).alias("y1"))
+    assert one == few == sorted([900, 901, *(r["id"] for r in S.non_dominated(boxes, 6).collect())])
