@@ -14,8 +14,9 @@ without any its slots, or else its blocks, outside such parts. Class and id word
 such words, and never on html, body, main and article; a page that would be empty is read again without these words, and then
 with only the parts out that never show text. A header element inside an article or main element is the article's own.
 
-Streams are aligned by their equal ends and longest common runs; what is longer than MOST_CELLS pairs of tokens is first cut at
-tokens that both sides have once, and is left unaligned where there are none, so that no page takes quadratic time.
+Streams of any length are aligned by one rule: equal ends, then tokens (or else pairs of them, then fours, up to 64) that both
+sides have once, as many as are in the same order, and between these the same again; what has none is aligned by longest common
+runs.
 
 Null html gives an empty text; pages without a host share the nameless host. Repeated rows give repeated rows. Broken markup is
 read as far as it goes: unclosed elements end with their parents or at the end of the page.
@@ -63,7 +64,6 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 FAN = 32
 LONGEST_GROUP = 16
-MOST_CELLS = 1 << 20
 TEMPLATE_PAGES = 3
 _SYNTAX = re.compile(r"[()?+]")
 
@@ -222,26 +222,26 @@ def _groups(tokens: list[str]) -> set[str]:
 
 
 def matches(a: list[str], b: list[str]) -> list[tuple[int, int, int]]:
-    """Runs (place in a, place in b, length) that both have, in order: equal ends, then longest common runs."""
+    """Runs (place in a, place in b, length) that both have, in order, by one rule for all lengths: equal ends, then what both have once, then longest common runs."""
     least = min(len(a), len(b))
     head = next((k for k in range(least) if a[k] != b[k]), least)
     tail = next((k for k in range(least - head) if a[-1 - k] != b[-1 - k]), least - head)
     x, y = a[head : len(a) - tail], b[head : len(b) - tail]
     out = [(0, 0, head)]
-    if len(x) * len(y) <= MOST_CELLS:
-        out += [(i + head, j + head, n) for i, j, n in SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks()]
-    else:
+    tried = ([*zip(*(s[i:] for i in range(k)))] for k in (1, 2, 4, 8, 16, 32, 64) for s in (x, y))
+    if anchors := next(filter(None, (_anchors(*two) for two in zip(tried, tried))), []):
         before = (-1, -1)
-        anchors = _anchors(x, y)
-        for i, j in [*anchors, (len(x), len(y))] if anchors else []:
+        for i, j in [*anchors, (len(x), len(y))]:
             out += [(p + before[0] + 1 + head, q + before[1] + 1 + head, n) for p, q, n in matches(x[before[0] + 1 : i], y[before[1] + 1 : j])]
             out.append((i + head, j + head, int(i < len(x))))
             before = (i, j)
+    elif x and y:
+        out += [(i + head, j + head, n) for i, j, n in SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks()]
     return [m for m in [*out, (len(a) - tail, len(b) - tail, tail)] if m[2]]
 
 
-def _anchors(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """Places of tokens that both sides have just once, as many as are in the same order on both."""
+def _anchors(a: list[tuple], b: list[tuple]) -> list[tuple[int, int]]:
+    """Places of token sequences that both sides have just once, as many as are in the same order on both."""
     once = [{t: k for k, t in enumerate(s) if n[t] == 1} for s, n in ((a, Counter(a)), (b, Counter(b)))]
     pairs = [(i, once[1][t]) for t, i in once[0].items() if t in once[1]]
     ends: list[int] = []  # last places in b of the best chains of each length

@@ -53,6 +53,14 @@ def test_matches_are_common_and_in_order():
             i, j = x + n, y + n
 
 
+@pytest.mark.parametrize("n", [20, 900, 1100, 2500])
+def test_alignment_does_not_depend_on_length(n):
+    rng = random.Random(5)
+    core = [rng.choice(["p", "/p", "b"]) for _ in range(n)]
+    assert sum(m[2] for m in matches(["u", *core, "v"], ["w", *core, "x"])) == n
+    assert sum(m[2] for m in matches(["u", *["p", "/p"] * n, "v"], ["w", *["p", "/p"] * n, "x"])) == 2 * n
+
+
 def test_long_streams_align_in_bounded_time():
     rng = random.Random(3)
     one, other = ([rng.choice(["p", "/p", "#text", "b", "/b", f"div.{k}"]) for k in range(20_000)] for _ in range(2))
