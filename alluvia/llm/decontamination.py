@@ -56,14 +56,17 @@ def shingle_array(words: Column) -> Column:
 def simhash(rows: DataFrame, key: str, shingle: str) -> DataFrame:
     """key and fingerprint: bit i is set if more than half of the key's shingles (rows) have it set.
 
-    Thirty-two sums count two bits each in lanes of 32 bits.
+    Thirty-two sums count two bits each in lanes of 32 bits. The bits are gathered by one loop over them, not by an expression
+    for each: the driver copies a plan's expressions at every step of planning.
     """
-    sums = [F.sum(F.shiftrightunsigned(F.col(shingle), i).bitwiseAND(F.lit(LANES))).alias(f"s{i}") for i in range(32)]
-    counts = rows.groupBy(key).agg(F.count("*").alias("n"), *sums)
-    bits = F.lit(0).cast("long")
-    for i in range(64):
-        lane = F.shiftrightunsigned(F.col(f"s{i % 32}"), 32 * (i // 32)).bitwiseAND(F.lit(0xFFFFFFFF))
-        bits = bits.bitwiseOR(F.shiftleft((lane * 2 > F.col("n")).cast("long"), i))
+    sums = F.array(*[F.sum(F.shiftrightunsigned(F.col(shingle), i).bitwiseAND(F.lit(LANES))) for i in range(32)])
+    counts = rows.groupBy(key).agg(F.count("*").alias("n"), sums.alias("sums"))
+
+    def with_bit(bits: Column, i: Column) -> Column:
+        lane = F.call_function("shiftrightunsigned", F.get("sums", i % 32), F.when(i < 32, 0).otherwise(32)).bitwiseAND(F.lit(0xFFFFFFFF))
+        return bits.bitwiseOR(F.call_function("shiftleft", (lane * 2 > F.col("n")).cast("long"), i))
+
+    bits = F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), with_bit)
     return counts.select(key, bits.alias("fingerprint"))
 
 
@@ -75,11 +78,13 @@ def within_radius(windows: DataFrame, items: DataFrame) -> DataFrame:
     """content and item_key of all fingerprints at a distance of at most RADIUS.
 
     The items' blocks are spread over all changes of up to CHANGES bits, the windows' blocks are looked up as they are. Both
-    sides are shuffled: the spread blocks are some 2,800 rows an item, too many to broadcast.
+    sides are shuffled: the spread blocks are some 2,800 rows an item, too many to broadcast. The changes are one literal, as
+    an expression for each takes the driver much memory to plan.
     """
-    masks = [sum(1 << b for b in bits) for n in range(CHANGES + 1) for bits in combinations(range(BLOCK_BITS), n)]
+    masks = ",".join(str(sum(1 << b for b in bits)) for n in range(CHANGES + 1) for bits in combinations(range(BLOCK_BITS), n))
     spread = items.select("item_key", F.col("fingerprint").alias("f"), F.posexplode(_blocks(F.col("fingerprint"))).alias("place", "block"))
-    spread = spread.select("item_key", "f", "place", F.explode(F.array(*[F.col("block").bitwiseXOR(F.lit(m)) for m in masks])).alias("block"))
+    spread = spread.select("*", F.explode(F.split(F.lit(masks), ",").cast("array<int>")).alias("mask"))
+    spread = spread.select("item_key", "f", "place", F.col("block").bitwiseXOR(F.col("mask")).alias("block"))
     looked = windows.select("content", "fingerprint", F.posexplode(_blocks(F.col("fingerprint"))).alias("place", "block"))
     near = looked.join(spread.hint("merge"), ["place", "block"]).where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("f"))) <= RADIUS)
     return near.select("content", "item_key").distinct()

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import duckdb
@@ -123,3 +124,31 @@ def test_leaks_at_the_edges_of_a_text(spark):
 )
 def test_noise_never_empties_a_page(page, text):
     assert "\n".join(t for _, t, _ in parse(page)[0]) == text
+
+
+def nodes(df):
+    """The nodes and expressions of a plan, as it is analysed and as it is optimised."""
+    execution = df._jdf.queryExecution()
+    return [plan.toJSON().count('"class"') for plan in (execution.analyzed(), execution.optimizedPlan())]
+
+
+def test_fingerprints_against_brute_force_by_small_plans(spark):
+    rng = random.Random(5)
+    shingles = [(key, rng.getrandbits(64) - (1 << 63)) for key in range(40) for _ in range(key % 7 + 1)]
+    prints = decontamination.simhash(spark.createDataFrame(shingles, "key long, shingle long"), "key", "shingle")
+    expected = {}
+    for key in range(40):
+        own = [s for k, s in shingles if k == key]
+        bits = sum(1 << i for i in range(64) if 2 * sum(s >> i & 1 for s in own) > len(own))
+        expected[key] = bits - (bits >> 63 << 64)
+    assert {r["key"]: r["fingerprint"] for r in prints.collect()} == expected and min(expected.values()) < 0
+
+    signed = lambda x: x - (x >> 63 << 64)
+    base = [rng.getrandbits(64) for _ in range(5)] + [0, (1 << 64) - 1]
+    others = [b ^ sum(1 << i for i in rng.sample(range(64), n)) for b in base for n in range(20)]
+    items = spark.createDataFrame([(i, signed(b)) for i, b in enumerate(base)], "item_key long, fingerprint long")
+    windows = spark.createDataFrame([(i, signed(w)) for i, w in enumerate(others)], "content long, fingerprint long")
+    near = decontamination.within_radius(windows, items)
+    brute = sorted((i, j) for i, w in enumerate(others) for j, b in enumerate(base) if (w ^ b).bit_count() <= decontamination.RADIUS)
+    assert sorted(tuple(r) for r in near.collect()) == brute and len(brute) >= 16 * len(base)
+    assert max(nodes(prints)) < 600 and max(nodes(near)) < 600
