@@ -59,6 +59,20 @@ def test_boxes_that_repeat_give_all_their_rows(spark, grown, name):
     same_as_sql(spark, grown, name)
 
 
+def parts(folder, *rows):
+    """A folder with a table of parts (key, brand) of one size."""
+    keys, brands = zip(*rows)
+    pq.write_table(pa.table({"s_suppkey": [0]}), folder / "supplier.parquet")
+    pq.write_table(pa.table({"p_partkey": list(keys), "p_brand": list(brands), "p_size": pa.array([5] * len(rows), pa.int32())}), folder / "part.parquet")
+    return str(folder)
+
+
+def test_best_polygon_match_is_sought_in_all_other_brands(spark, tmp_path):
+    folder = parts(tmp_path, (1, "Brand#11"), (121, "Brand#31"), (241, "Brand#21"), (5, "Brand#11"), (125, "Brand#55"), (9, "Brand#11"), (129, "Brand#11"))
+    same_as_sql(spark, folder, "polygon_best_match")
+    assert sorted(map(tuple, QUERIES["polygon_best_match"](spark, folder).collect())) == [(1, 121, 1.0), (5, 125, 1.0)]
+
+
 def squares(spark, prefix, n, low):
     df = spark.range(n).select(F.col("id").alias(f"{prefix}_id"), *[F.lit(float(v)).alias(f"{prefix}_{k}") for k, v in (("x0", low), ("y0", low), ("x1", low + 2), ("y1", low + 2))])
     return df.withColumn(f"{prefix}_shape", G.st_box(*[F.col(f"{prefix}_{k}") for k in ("x0", "y0", "x1", "y1")]))
