@@ -73,6 +73,19 @@ def test_best_polygon_match_is_sought_in_all_other_brands(spark, tmp_path):
     assert sorted(map(tuple, QUERIES["polygon_best_match"](spark, folder).collect())) == [(1, 121, 1.0), (5, 125, 1.0)]
 
 
+def test_polygon_set_operations_have_all_rows_of_both_sides(spark, tmp_path):
+    folder = parts(tmp_path, (1, "Brand#11"), (2, "Brand#11"), (3, "Brand#11"), (122, "Brand#31"), (243, "Brand#55"), (1, "Brand#21"), (20, "Brand#31"))
+    same_as_sql(spark, folder, "polygon_set_operations")
+    got = QUERIES["polygon_set_operations"](spark, folder).select("a_id", "b_id")
+    assert sorted(map(tuple, got.collect())) == [(a, b) for a in (1, 2, 3) for b in (1, 122, 243)]
+
+
+def test_areas_of_an_overlay_are_those_of_its_shapes():
+    holed, bar, far = [*G.box(0, 0, 6, 6), *G.box(2, 2, 4, 4)], G.box(1, 3, 7, 5), G.box(9, 9, 10, 10)
+    for a, b in ((holed, bar), (bar, holed), (holed, holed), (holed, far), (holed, []), ([], [])):
+        assert G.overlay_areas(a, b) == pytest.approx([G.area(r) for r in (G.union([a, b]), G.difference(a, b), G.intersection(a, b))], abs=1e-12)
+
+
 def squares(spark, prefix, n, low):
     df = spark.range(n).select(F.col("id").alias(f"{prefix}_id"), *[F.lit(float(v)).alias(f"{prefix}_{k}") for k, v in (("x0", low), ("y0", low), ("x1", low + 2), ("y1", low + 2))])
     return df.withColumn(f"{prefix}_shape", G.st_box(*[F.col(f"{prefix}_{k}") for k in ("x0", "y0", "x1", "y1")]))
